@@ -49,6 +49,12 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
 _REMOVE: list[str] = []
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df on all cores, for work in Python: an input of fewer partitions than cores is small and is repartitioned."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets the driver drop shuffle files of finished stages that nothing refers to any more."""
     import gc
