@@ -13,12 +13,15 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.session import spread, written
+
 #: Names that templates give to parts of an article (fixed values of the detector).
 PARTS = frozenset(
     "title headline subtitle heading summary excerpt deck standfirst teaser abstract description desc byline author name date "
@@ -258,8 +261,10 @@ def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row_no, title, summary, url in zip(b["row_no"], b["title"], b["summary"], b["url"]):
             own = judge(title, summary)
             where = ADDRESS.match(url) if isinstance(url, str) else None
-            slug = tuple(w for w in WORD.findall(where.group(2).lower()) if len(w) > 2 and not any(c.isdigit() for c in w)) if where else ()
-            titled = WORD.findall(title.lower()) if isinstance(title, str) else []
+            last = [p for p in where.group(2).split("/") if p][-1:] if where else []
+            slug = tuple(w for p in last for w in WORD.findall(p.lower()) if len(w) > 2 and not any(c.isdigit() for c in w))
+            # slugs drop accents, with or without their letters
+            titled = WORD.findall(f"{_plain(title)} {title.lower().encode('ascii', 'ignore').decode()}") if isinstance(title, str) else []
             # an address without words, as /p/x7, tells nothing
             unlike = len(slug) >= 3 and bool(titled) and len(set(slug) & set(titled)) <= 1
             masks, weak = [], not own and any(judge_weak(f) for f in (title, summary))
@@ -270,6 +275,10 @@ def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["row_no", "own", "weak", "unlike", "host", "slug", "masks"])
 
 
+def _plain(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
+
+
 def judge_weak(field: str | None) -> bool:
     """Some of a notice is there: enough only with evidence of the corpus."""
     if not isinstance(field, str) or not field.strip() or len(field) > 200:
@@ -284,15 +293,17 @@ def residue(pool: DataFrame, min_slugs: int = 3, min_hosts: int = 2) -> DataFram
     'text': the row's own words decide. 'corpus': a shorter share of notice words, with the same masked text under at
     least min_slugs unlike slugs on min_hosts hosts, and a slug that the title does not match. An empty pool gives an
     empty result; other columns are ignored; repeated rows count once."""
-    signals = pool.select("row_no", "title", "summary", "url").mapInPandas(
+    judged = spread(pool.select("row_no", "title", "summary", "url")).mapInPandas(
         _signals, "row_no bigint, own boolean, weak boolean, unlike boolean, host string, slug string, masks array<string>"
     )
+    # written once: three plans read it
+    signals = written(judged.withColumn("masks", F.transform("masks", lambda m: F.xxhash64(m))).withColumn("slug", F.xxhash64("slug")))
     own = signals.where("own").select("row_no", F.lit("text").alias("by"))
-    weak = signals.where("weak and unlike").select("row_no", F.explode("masks").alias("mask"))
+    weak = signals.where("weak and unlike").select("row_no", F.explode("masks").alias("m"))
     # how many slugs and hosts give the same text: counted over all rows, on hashes
-    seen = signals.select(F.explode("masks").alias("mask"), "slug", "host").groupBy(F.xxhash64("mask").alias("m")).agg(
+    seen = signals.select(F.explode("masks").alias("m"), "slug", "host").groupBy("m").agg(
         F.approx_count_distinct("slug", 0.1).alias("slugs"), F.approx_count_distinct("host", 0.1).alias("hosts"), F.count("*").alias("n")
     )
     often = seen.where((F.col("n") >= min_slugs) & (F.col("slugs") >= min_slugs) & (F.col("hosts") >= min_hosts)).select("m")
-    corpus = weak.withColumn("m", F.xxhash64("mask")).join(often, "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
+    corpus = weak.join(often, "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
     return own.unionByName(corpus).groupBy("row_no").agg(F.max("by").alias("by"))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.names import name_core
 from gleaner.llm.residue import clean
+from gleaner.session import spread, written
 
 #: What publishers put at a cut (fixed values).
 MARK = re.compile(
@@ -83,7 +84,7 @@ def _lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def endings(pool: DataFrame) -> DataFrame:
     """row_no, source (the name's core), ending and the three lengths of every row with a summary."""
     named = pool.select("row_no", F.coalesce(name_core(F.col("source")), F.lit("")).alias("source"), "summary")
-    return named.mapInPandas(_lengths, "row_no bigint, source string, ending string, chars int, bytes int, shown int")
+    return spread(named).mapInPandas(_lengths, "row_no bigint, source string, ending string, chars int, bytes int, shown int")
 
 
 def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int = 5) -> DataFrame:
@@ -136,7 +137,7 @@ def cuts(ended: DataFrame, at: DataFrame) -> DataFrame:
 
 def truncated(pool: DataFrame, alpha: float = 0.01) -> DataFrame:
     """row_no, source, ending, chars, at_limit, cut of every pool row with a summary."""
-    ended = endings(pool)
+    ended = written(endings(pool))
     return cuts(ended, limits(ended, alpha))
 
 
