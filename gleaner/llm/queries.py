@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleaner.llm import residue, truncation
+from gleaner.functions.dates import day_of
+from gleaner.llm import residue, seen, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +35,20 @@ def p2_source_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.source_shares(_cut(spark, sf_dir))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seen.seen_before(_read(spark, sf_dir, "pool"), _read(spark, sf_dir, "ledger")).select("row_no")
+
+
+def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and rows known before of every batch."""
+    pool, day = _read(spark, sf_dir, "pool"), F.col("day")
+    known = seen.seen_before(pool, _read(spark, sf_dir, "ledger")).groupBy("day").agg(F.count("*").alias("known"))
+    every = pool.select(day_of(F.col("first_seen")).alias("day")).where(day.isNotNull()).groupBy("day").agg(F.count("*").alias("n"))
+    return every.join(known, "day", "left").select("day", "n", F.coalesce("known", F.lit(0)).alias("known"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches)}
 
 
 def oracle_sql() -> dict[str, str]:
