@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
-from gleaner.llm import residue, seen, truncation
+from gleaner.llm import residue, seen, similar, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +47,26 @@ def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(known, "day", "left").select("day", "n", F.coalesce("known", F.lit(0)).alias("known"))
 
 
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "pool").join(p1_found(spark, sf_dir), "row_no", "left_anti")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.similar_rows(_stories(spark, sf_dir)).select("row_a", "row_b")
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.groups(_stories(spark, sf_dir))
+
+
+def p4_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of all rows with a title and a summary, those of p1_found included."""
+    found = similar.similar_rows(_read(spark, sf_dir, "pool"))
+    return found.select("row_a", "row_b", F.round("similarity", 9).alias("similarity"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all)}
 
 
 def oracle_sql() -> dict[str, str]:
