@@ -110,6 +110,8 @@ WRONG = frozenset(
     "forbidden gateway database undefined null nan traceback uncaught typeerror keyerror exception permission loading blocked gesperrt region requests connection secure security placeholder dummy sample default example filler lorem ipsum todo "
     "template blindtext platzhalter provisoire relleno prueba compléter insert overwrite upgrade test asdf right back person human second moment wait assistant field headline text edit condition invalid reply answer cargar later anreißer upstream offline nothing window page".split()
 )
+#: Those of them that name it without doubt: one of these makes a single sentence of a longer text a notice.
+PLAIN = WRONG - frozenset("page text test right back person human second moment wait assistant field headline condition reply answer later window sample template default example connection secure security request requests moved removed edit insert region upgrade offline".split())
 #: Whole fields that residue leaves, as patterns over the cleaned text (fixed values).
 WHOLE = re.compile(
     r"^(?:\W|\b(?:undefined|null|nan|none|nil|tbd|tba|todo|n/a|object)\b)+$"
@@ -142,6 +144,7 @@ HEX = re.compile(r"[a-f]{4,8}|\w*\d\w*")
 LONG = 400
 MASK = re.compile(r"[0-9a-f]*\d[0-9a-f]*|\b[\w-]+(?:\.[\w-]+)+\b", re.I)
 SUFFIX = re.compile(r"^(?:(?:update|updated|video|exclusive|fwd|fw|re|rfc|new post|\[[\w .]{1,12}\])\s*:?\s+)?(.*?)(?:\s+[|–—-]\s+[^|–—]{2,40})?(?:\s*\[\w{2}\])?\s*$", re.I | re.S)
+AFFIX = re.compile(r"[:\[]|\s[|–—-]\s|^re ", re.I)
 ADDRESS = re.compile(r"^\s*https?://([^/?#\s]+)([^?#]*)", re.I)
 
 
@@ -183,23 +186,21 @@ def clean(raw: str) -> str:
     return " ".join(raw.split())
 
 
-def notice(text: str, bar: float) -> bool:
+def notice(text: str, bar: float, low: str | None = None, words: list[str] | None = None) -> bool:
     """The whole text or one sentence of it is a notice: nearly all of its words are of LEX, one says what is wrong."""
-    text = text.strip()
-    if not text:
-        return False
-    if (WHOLE.search(text) if len(text) <= LONG else WHOLE.match(text)):
+    if WHOLE.match(text):
         return True
-    low = text.lower().replace("’", "'")
-    words = WORD.findall(low)
-    if not words:
-        return False
-    if len(words) >= 3 and not LATIN.isdisjoint(words) and sum(w in LATIN for w in words) >= 0.7 * len(words):
+    if words is None:
+        low = text.lower().replace("’", "'")
+        words = WORD.findall(low)
+    if not LATIN.isdisjoint(words) and len(words) >= 3 and sum(w in LATIN for w in words) >= 0.7 * len(words):
         return True
     if WRONG.isdisjoint(words):
         return False
-    if _covered(low, bar):
+    if len(low) <= LONG and _covered(low, bar):
         return True
+    if PLAIN.isdisjoint(words):
+        return False
     parts = SENTENCE.split(low)
     return len(parts) > 1 and any(len(p) > 12 and p.rstrip()[-1:] in ".!?…" and _told(p) for p in parts)
 
@@ -207,7 +208,7 @@ def notice(text: str, bar: float) -> bool:
 def _told(sentence: str) -> bool:
     """Every word of the sentence is of LEX, at least four of them, one says what is wrong."""
     words = WORD.findall(sentence)
-    if len(words) < 4 or WRONG.isdisjoint(words):
+    if len(words) < 4 or PLAIN.isdisjoint(words):
         return False
     for w in words:
         if not _known(w) and not any(c.isdigit() for c in w):
@@ -238,28 +239,45 @@ SHORT = re.compile(
 )
 
 
-def judge(title: str | None, summary: str | None, bar: float = 0.85) -> bool:
-    """Whether the row is a case by its own text."""
+def judge(title: str | None, summary: str | None, bar: float = 0.85) -> int:
+    """2: a case by its own text. 1: some field holds a part of a notice, which counts with evidence of the corpus. 0: none."""
+    least = 0
     for field in (title, summary):
         if not isinstance(field, str) or not field.strip():
             continue
         if placeholder(field):
-            return True
+            return 2
         text = clean(field)
-        if notice(text, bar):
-            return True
+        low = text.lower()
+        if "’" in low:
+            low = low.replace("’", "'")
+        words = WORD.findall(low)
+        if notice(text, bar, low, words):
+            return 2
         if len(text) < 200:
-            core = SUFFIX.match(text)
-            if core and 0 < len(core.group(1)) < len(text) and notice(core.group(1), bar):
-                return True
-    return False
+            if AFFIX.search(text):
+                core = SUFFIX.match(text).group(1)
+                if 0 < len(core) < len(text) and notice(core, bar):
+                    return 2
+            if not WRONG.isdisjoint(words) and _covered(low, 0.6):
+                least = 1
+    return least
+
+
+def _plain(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
 
 
 def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
         for row_no, title, summary, url in zip(b["row_no"], b["title"], b["summary"], b["url"]):
-            own = judge(title, summary)
+            found = judge(title, summary)
+            if not found:
+                continue
+            if found == 2:
+                rows.append((row_no, True, False, None, "", []))
+                continue
             where = ADDRESS.match(url) if isinstance(url, str) else None
             last = [p for p in where.group(2).split("/") if p][-1:] if where else []
             slug = tuple(w for p in last for w in WORD.findall(p.lower()) if len(w) > 2 and not any(c.isdigit() for c in w))
@@ -267,24 +285,9 @@ def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             titled = WORD.findall(f"{_plain(title)} {title.lower().encode('ascii', 'ignore').decode()}") if isinstance(title, str) else []
             # an address without words, as /p/x7, tells nothing
             unlike = len(slug) >= 3 and bool(titled) and len(set(slug) & set(titled)) <= 1
-            masks, weak = [], not own and any(judge_weak(f) for f in (title, summary))
-            for f in (title, summary):
-                if isinstance(f, str) and 0 < len(f.strip()) <= 200:
-                    masks.append(MASK.sub("#", clean(f).lower()))
-            rows.append((row_no, own, weak, unlike, where.group(1).lower() if where else None, " ".join(slug[:4]), masks))
-        yield pd.DataFrame(rows, columns=["row_no", "own", "weak", "unlike", "host", "slug", "masks"])
-
-
-def _plain(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
-
-
-def judge_weak(field: str | None) -> bool:
-    """Some of a notice is there: enough only with evidence of the corpus."""
-    if not isinstance(field, str) or not field.strip() or len(field) > 200:
-        return False
-    text = clean(field)
-    return _covered(text.lower().replace("’", "'"), 0.6)
+            masks = [MASK.sub("#", clean(f).lower()) for f in (title, summary) if isinstance(f, str) and 0 < len(f.strip()) <= 200]
+            rows.append((row_no, False, unlike, where.group(1).lower() if where else None, " ".join(slug[:4]), masks))
+        yield pd.DataFrame(rows, columns=["row_no", "own", "unlike", "host", "slug", "masks"])
 
 
 def residue(pool: DataFrame, min_slugs: int = 3, min_hosts: int = 2) -> DataFrame:
@@ -294,16 +297,14 @@ def residue(pool: DataFrame, min_slugs: int = 3, min_hosts: int = 2) -> DataFram
     least min_slugs unlike slugs on min_hosts hosts, and a slug that the title does not match. An empty pool gives an
     empty result; other columns are ignored; repeated rows count once."""
     judged = spread(pool.select("row_no", "title", "summary", "url")).mapInPandas(
-        _signals, "row_no bigint, own boolean, weak boolean, unlike boolean, host string, slug string, masks array<string>"
+        _signals, "row_no bigint, own boolean, unlike boolean, host string, slug string, masks array<string>"
     )
-    # written once: three plans read it
+    # written once: three plans read it; only rows with at least a part of a notice are left
     signals = written(judged.withColumn("masks", F.transform("masks", lambda m: F.xxhash64(m))).withColumn("slug", F.xxhash64("slug")))
     own = signals.where("own").select("row_no", F.lit("text").alias("by"))
-    weak = signals.where("weak and unlike").select("row_no", F.explode("masks").alias("m"))
-    # how many slugs and hosts give the same text: counted over all rows, on hashes
-    seen = signals.select(F.explode("masks").alias("m"), "slug", "host").groupBy("m").agg(
-        F.approx_count_distinct("slug", 0.1).alias("slugs"), F.approx_count_distinct("host", 0.1).alias("hosts"), F.count("*").alias("n")
-    )
+    parts = signals.where("not own").select("row_no", "unlike", "slug", "host", F.explode("masks").alias("m"))
+    # how many slugs and hosts give the same text; a text that is part of a notice is so in every row
+    seen = parts.groupBy("m").agg(F.approx_count_distinct("slug", 0.1).alias("slugs"), F.approx_count_distinct("host", 0.1).alias("hosts"), F.count("*").alias("n"))
     often = seen.where((F.col("n") >= min_slugs) & (F.col("slugs") >= min_slugs) & (F.col("hosts") >= min_hosts)).select("m")
-    corpus = weak.join(often, "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
+    corpus = parts.where("unlike").join(often, "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
     return own.unionByName(corpus).groupBy("row_no").agg(F.max("by").alias("by"))
