@@ -47,16 +47,12 @@ def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(known, "day", "left").select("day", "n", F.coalesce("known", F.lit(0)).alias("known"))
 
 
-def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "pool").join(p1_found(spark, sf_dir), "row_no", "left_anti")
-
-
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar.similar_rows(_stories(spark, sf_dir)).select("row_a", "row_b")
+    return similar.similar_rows(_read(spark, sf_dir, "pool"), leave_out=p1_found(spark, sf_dir)).select("row_a", "row_b")
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar.groups(_stories(spark, sf_dir))
+    return similar.groups(_read(spark, sf_dir, "pool"), leave_out=p1_found(spark, sf_dir))
 
 
 def p4_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:

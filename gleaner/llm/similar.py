@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from gleaner.session import free_shuffles, spread, written
 
-LOW_BITS = 48
+#: Sizes from here on are stored as this and count as unlimited.
+FULL = 0xFFFF
 
 
 def words(text: Column) -> Column:
@@ -70,54 +71,68 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def fingerprint(h: np.ndarray) -> tuple[int, int]:
-    """Parity of the words over 64 bits, and over 48 more by another hash with the number of words above them."""
-    high = np.bitwise_xor.reduce(np.uint64(1) << (h & np.uint64(63)))
-    low = np.bitwise_xor.reduce(np.uint64(1) << (mix(h) % np.uint64(LOW_BITS)))
-    return int(high), int(low) | min(len(h), 0x7FFF) << LOW_BITS
+#: Odd multipliers that tell a word's place in a triple.
+PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def keyed(words_: np.ndarray, held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: float) -> np.ndarray:
-    """The topmost patterns of a record."""
-    n = len(words_)
-    at = np.searchsorted(held, words_) if len(held) else np.zeros(n, np.int64)
-    at = np.minimum(at, max(len(held) - 1, 0))
-    df = np.where(held[at] == words_, counts[at], 0) if len(held) else np.zeros(n, np.int64)
-    h = words_.view(np.uint64)
-    order = np.lexsort((h, df))
+def keyed(h: np.ndarray, df: np.ndarray, rare: float, keys: int, t: float) -> np.ndarray:
+    """The topmost patterns of a record: h its word hashes, df their frequencies (0 for words outside the table)."""
+    n = len(h)
     # at least as many of the rarest as make three of them common to every similar record
-    take = max(8, int((1 - t) * n) + 3, int((df <= rare).sum()))
-    h = np.sort(h[order[: min(n, take, 36)]]) if (1 - t) * n + 3 <= 36 else np.sort(h[order[: int((1 - t) * n) + 3]])
-    if len(h) < 3:
+    least = max(8, int((1 - t) * n) + 3)
+    take = min(n, max(least, min(int((df <= rare).sum()), 32)))
+    if take < n:
+        h = h[np.lexsort((h, df))[:take]]
+    h = np.sort(h)
+    if take < 3:
         return mix(h)
-    if len(h) <= 64:
-        a, b, c = triples(len(h))
-        k = mix(h[a] * np.uint64(0x9E3779B97F4A7C15) + mix(h[b] + np.uint64(1)) + (h[c] << np.uint64(1)))
-        return k if len(k) <= keys else np.partition(k, keys)[:keys]
-    # very long: triples of neighbours in the order of hashes, which similar sets share as they share their words
-    g = np.sort(mix(h))
-    k = mix(g[:-2] * np.uint64(0x9E3779B97F4A7C15) + mix(g[1:-1] + np.uint64(1)) + (g[2:] << np.uint64(1)))
-    return k if len(k) <= 4 * keys else np.partition(k, 4 * keys)[: 4 * keys]
+    if take <= 64:
+        a, b, c = triples(take)
+        k = (h * PLACES[0])[a] ^ (h * PLACES[1])[b] ^ (h * PLACES[2])[c]
+    else:
+        # very long: triples of neighbours in the order of hashes, which similar sets share as they share their words
+        g = np.sort(mix(h))
+        k = (g * PLACES[0])[:-2] ^ (g * PLACES[1])[1:-1] ^ (g * PLACES[2])[2:]
+        keys *= 4
+    return k if len(k) <= keys else np.partition(k, keys)[:keys]
 
 
-def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: float):
+#: One entry of the index as it is shuffled: key, set, fingerprint and size without the padding of a row.
+ENTRY = np.dtype([("k", "<u4"), ("k2", "u1"), ("sid", "<i8"), ("high", "<u8"), ("low", "<u4"), ("size", "<u2")])
+
+
+def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: float, parts: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         np.seterr(over="ignore")
         for b in batches:
-            done, k, sid, high, low = set(), [], [], [], []
-            for s, w in zip(b["sid"].to_numpy(np.int64), b["words"]):
-                if s in done:  # a copy within the batch
-                    continue
-                done.add(s)
-                w = np.asarray(w, np.int64)
-                x = keyed(w, held, counts, rare, keys, t)
-                f = fingerprint(w.view(np.uint64))
-                k.append(x)
-                sid.append(np.full(len(x), s, np.int64))
-                high.append(np.full(len(x), f[0], np.uint64))
-                low.append(np.full(len(x), f[1], np.uint64))
-            if k:
-                yield pd.DataFrame({"k": np.concatenate(k).view(np.int64), "sid": np.concatenate(sid), "high": np.concatenate(high).view(np.int64), "low": np.concatenate(low).view(np.int64)})
+            b = b.drop_duplicates("sid")  # copies within the batch
+            if not len(b):
+                continue
+            flat = np.concatenate([np.asarray(w, np.int64) for w in b["words"]])
+            size = b["words"].map(len).to_numpy()
+            if len(held):
+                at = np.minimum(np.searchsorted(held, flat), len(held) - 1)
+                df = np.where(held[at] == flat, counts[at], 0)
+            else:
+                df = np.zeros(len(flat), np.int64)
+            h = flat.view(np.uint64)
+            end = np.cumsum(size)
+            start = end - size
+            high = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), start)
+            low = np.bitwise_xor.reduceat(np.uint32(1) << (mix(h) & np.uint64(31)).astype(np.uint32), start)
+            each = [keyed(h[i:j], df[i:j], rare, keys, t) for i, j in zip(start, end)]
+            n = np.array([len(x) for x in each])
+            k = mix(np.concatenate(each))
+            out = np.empty(len(k), ENTRY)
+            out["k"], out["k2"] = k & np.uint64(0xFFFFFFFF), (k >> np.uint64(32)) & np.uint64(0xFF)
+            for name, x in (("sid", b["sid"].to_numpy(np.int64)), ("high", high), ("low", low), ("size", np.minimum(size, FULL))):
+                out[name] = np.repeat(x, n)
+            part = ((k >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            out, part = out[order], part[order]
+            cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            ends = np.append(cut[1:], len(part))
+            yield pd.DataFrame({"part": part[cut], "entries": [out[i:j].tobytes() for i, j in zip(cut, ends)]})
 
     return run
 
@@ -130,6 +145,12 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return r
 
 
+def most(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
+    """The most words in which sets of a and b words with similarity t differ; rounding never tightens it."""
+    a, b = a.astype(np.int64), b.astype(np.int64)
+    return np.where((a >= FULL) | (b >= FULL), 1 << 40, ((1 - t) / (1 + t) * (a + b) + 1e-6).astype(np.int64))
+
+
 class GrayIndex:
     """A hierarchical index over fingerprints (columns of 64-bit codes) with sizes.
 
@@ -151,8 +172,7 @@ class GrayIndex:
             self.levels.append((ones, ones | zeros, np.maximum.reduceat(big, cut), np.minimum.reduceat(small, cut)))
 
     def bound(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The most words in which sets of a and b words with similarity t differ; rounding never tightens it."""
-        return ((1 - self.t) / (1 + self.t) * (a + b) + 1e-6).astype(np.int64)
+        return most(a, b, self.t)
 
     def pairs(self, block: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of positions (in the given order, each pair once) whose codes differ within the bound."""
@@ -184,29 +204,38 @@ class GrayIndex:
             yield self.order[i[ok]], self.order[node[ok]]
 
 
-def search(k: np.ndarray, sid: np.ndarray, high: np.ndarray, low: np.ndarray, t: float, small: int = 24) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs of sids among entries of one partition; the key is the topmost pattern and must agree."""
-    size = (low >> np.uint64(LOW_BITS)).astype(np.int64)
-    codes = np.stack([high, low & np.uint64((1 << LOW_BITS) - 1)], 1)
-    order = np.lexsort((sid, gray_rank(codes[:, 1]), gray_rank(codes[:, 0]), k))
+def search(entries: np.ndarray, t: float, small: int = 24) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs of sids among the entries of one partition; the key is the topmost pattern and must agree."""
+    k = entries["k"].astype(np.uint64) | entries["k2"].astype(np.uint64) << np.uint64(32)
+    sid, size = entries["sid"], entries["size"].astype(np.int64)
+    codes = np.stack([entries["high"], entries["low"].astype(np.uint64)], 1)
+    # keys of one entry have nothing to find
+    order = np.argsort(k, kind="stable")
+    k = k[order]
+    same = k[1:] == k[:-1]
+    more = np.zeros(len(k), bool)
+    more[1:] |= same
+    more[:-1] |= same
+    order, k = order[more], k[more]
+    sid, size, codes = sid[order], size[order], codes[order]
+    order = np.lexsort((sid, codes[:, 1], gray_rank(codes[:, 0]), k))
     k, sid, codes, size = k[order], sid[order], codes[order], size[order]
+    if not len(k):
+        return
     keep = np.ones(len(k), bool)
     keep[1:] = (k[1:] != k[:-1]) | (sid[1:] != sid[:-1])  # copies out of other batches
     k, sid, codes, size = k[keep], sid[keep], codes[keep], size[keep]
-    start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
     count = np.diff(np.append(start, len(k)))
-    f = (1 - t) / (1 + t)
     # groups of few entries: all their pairs at once, by distance in the order
-    few = (count > 1) & (count <= small)
-    member = np.repeat(few, count)
-    left = np.repeat(start + count, count)  # the end of each entry's group
+    end = np.repeat(start + count, count)
+    live = np.flatnonzero(np.repeat((count > 1) & (count <= small), count))
     for off in range(1, small):
-        i = np.flatnonzero(member & (np.arange(len(k)) + off < left))
-        if not len(i):
+        live = live[live + off < end[live]]
+        if not len(live):
             break
-        j = i + off
-        bound = (f * (size[i] + size[j]) + 1e-6).astype(np.int64)
-        ok = (np.bitwise_count(codes[i] ^ codes[j]) <= bound[:, None]).all(1)
+        i, j = live, live + off
+        ok = (np.bitwise_count(codes[i] ^ codes[j]) <= most(size[i], size[j], t)[:, None]).all(1)
         ok &= np.minimum(size[i], size[j]) >= t * np.maximum(size[i], size[j]) - 1e-6
         yield sid[i[ok]], sid[j[ok]]
     for s, c in zip(start[count > small], count[count > small]):
@@ -217,39 +246,38 @@ def search(k: np.ndarray, sid: np.ndarray, high: np.ndarray, low: np.ndarray, t:
 
 def _candidates(t: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        np.seterr(over="ignore")
-        parts = list(batches)  # one partition of the index, sized by the shuffle
-        if not parts:
-            return
-        b = pd.concat(parts, ignore_index=True)
-        del parts
-        col = lambda c: b[c].to_numpy(np.int64).view(np.uint64)
-        done = np.zeros((0, 2), np.int64)
-        for x, y in search(col("k"), b["sid"].to_numpy(np.int64), col("high"), col("low"), t):
-            if len(x):
-                done = np.unique(np.concatenate([done, np.stack([np.minimum(x, y), np.maximum(x, y)], 1)]), axis=0)
-                if len(done) > 500_000:
-                    yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
-                    done = np.zeros((0, 2), np.int64)
-        if len(done):
-            yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
+        blobs: dict[int, list[bytes]] = {}
+        for b in batches:
+            for part, e in zip(b["part"], b["entries"]):
+                blobs.setdefault(int(part), []).append(e)
+        for part in sorted(blobs):
+            done = np.zeros((0, 2), np.int64)
+            for x, y in search(np.frombuffer(b"".join(blobs.pop(part)), ENTRY), t):
+                if len(x):
+                    done = np.unique(np.concatenate([done, np.stack([np.minimum(x, y), np.maximum(x, y)], 1)]), axis=0)
+                    if len(done) > 500_000:
+                        yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
+                        done = np.zeros((0, 2), np.int64)
+            if len(done):
+                yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
 
     return run
 
 
-def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 24, rare: float = 0.02, common: float = 0.0005) -> DataFrame:
+def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, rare: float = 0.02, common: float = 0.0005) -> DataFrame:
     """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
     spark = sets.sparkSession
     held, counts, n = common_words(sets, common)
-    entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, rare * n, keys, t), "k bigint, sid bigint, high bigint, low bigint")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, n * keys // 600_000 + 1)
-    candidates = entries.repartition(parts, "k").mapInPandas(_candidates(t), "a bigint, b bigint")
+    # partitions of the index by size: about a million entries each, however many records there are
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * keys // 1_000_000 + 1)
+    entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, rare * n, keys, t, parts), "part bigint, entries binary")
+    candidates = entries.repartitionById(parts, F.col("part").cast("int")).mapInPandas(_candidates(t), "a bigint, b bigint")
     pairs = written(candidates.distinct())
     free_shuffles(spark)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     # one row for each set that is in a candidate pair
     texts = written(sets.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("words").alias("words")))
+    free_shuffles(spark)
     a, b = texts.select(F.col("sid").alias("a"), F.col("words").alias("wa")), texts.select(F.col("sid").alias("b"), F.col("words").alias("wb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("wa", "wb")))
     return both.select("a", "b", (F.col("both") / (F.size("wa") + F.size("wb") - F.col("both"))).alias("similarity")).where(F.col("similarity") >= t)
@@ -261,9 +289,15 @@ def with_ids(pool: DataFrame) -> DataFrame:
     return sets.withColumn("sid", F.xxhash64(F.array_sort("words")))
 
 
-def similar_rows(pool: DataFrame, t: float = 0.7, **how: float) -> DataFrame:
+def stored(pool: DataFrame, leave_out: DataFrame | None = None) -> DataFrame:
+    """The word sets as a table: words repeat, so that its dictionary takes two bytes a word; rows of leave_out are left out."""
+    sets = with_ids(spread(pool))
+    return written(sets if leave_out is None else sets.join(leave_out.select("row_no"), "row_no", "left_anti"))
+
+
+def similar_rows(pool: DataFrame, t: float = 0.7, leave_out: DataFrame | None = None, **how: float) -> DataFrame:
     """All pairs (row_a, row_b, similarity), row_a < row_b, of rows whose similarity is t or more, copies included."""
-    sets = written(spread(with_ids(pool)))
+    sets = stored(pool, leave_out)
     linked = written(similar_sets(sets, t, **how))
     member = sets.select("sid", "row_no").distinct()
     in_pairs = linked.join(member.select(F.col("sid").alias("a"), F.col("row_no").alias("ra")), "a").join(member.select(F.col("sid").alias("b"), F.col("row_no").alias("rb")), "b")
@@ -275,13 +309,13 @@ def similar_rows(pool: DataFrame, t: float = 0.7, **how: float) -> DataFrame:
     return different.where("row_a < row_b").unionByName(equal)
 
 
-def groups(pool: DataFrame, t: float = 0.7, **how: float) -> DataFrame:
+def groups(pool: DataFrame, t: float = 0.7, leave_out: DataFrame | None = None, **how: float) -> DataFrame:
     """One row per record with its group and its number of links to different texts: row_no, group_no, links.
 
     The group is the least row_no reachable through pairs; copies share a group."""
     from gleaner.llm.seen import components
 
-    sets = written(spread(with_ids(pool)))
+    sets = stored(pool, leave_out)
     linked = written(similar_sets(sets, t, **how).select("a", "b"))
     both = linked.unionByName(linked.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = both.groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "sid")
