@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
-from gleaner.llm import residue, seen, similar, truncation
+from gleaner.llm import dominance, encode, residue, seen, similar, sql, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,9 +61,35 @@ def p4_pairs_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row_a", "row_b", F.round("similarity", 9).alias("similarity"))
 
 
+def _capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dominance.scored(_read(spark, sf_dir, "pool"), _read(spark, sf_dir, "source_dim"), _read(spark, sf_dir, "quality_score"))
+    return dominance.cap(rows, share=DOMINANT)
+
+
+#: A contributor is dominant above this share of all rows.
+DOMINANT = 0.02
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capped(spark, sf_dir).where("dominant").select("row_no")
+
+
+def p5_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capped(spark, sf_dir).where("keep").select("row_no", "contributor", "score")
+
+
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.encode(_read(spark, sf_dir, "documents"))
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The round trip of all texts."""
+    return encode.decode(p6_ids(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
