@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
-from gleaner.llm import dominance, encode, residue, seen, similar, sql, truncation
+from gleaner.llm import dominance, encode, packing, residue, seen, similar, splitting, sql, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,8 +87,27 @@ def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.decode(p6_ids(spark, sf_dir))
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.sizes(_read(spark, sf_dir, "documents")))
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.containers(p7_packed(spark, sf_dir))
+
+
+def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split(_read(spark, sf_dir, "documents"))
+
+
+def p8_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts put together again from their pieces without the overlaps."""
+    own = F.substring(F.col("text"), F.col("start") - F.col("begin") + 1, F.col("end") - F.col("start"))
+    parts = p8_pieces(spark, sf_dir).select("doc_id", F.struct("piece", own.alias("own")).alias("p"))
+    return parts.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["own"]), "").alias("text"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded, p7_packed, p7_containers, p8_pieces, p8_rejoined)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -41,6 +41,8 @@ FROM both_ JOIN n x ON x.row_no = row_a JOIN n y ON y.row_no = row_b WHERE c >=
 
 P6_DECODED = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
 
+P8_REJOINED = "SELECT doc_id, text FROM documents WHERE text <> ''"
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_pairs_all": P4_PAIRS_ALL, "p5_found": P5_FOUND, "p5_kept": P5_KEPT, "p6_decoded": P6_DECODED}
+    return {"p4_pairs_all": P4_PAIRS_ALL, "p5_found": P5_FOUND, "p5_kept": P5_KEPT, "p6_decoded": P6_DECODED, "p8_rejoined": P8_REJOINED}
