@@ -104,10 +104,9 @@ ENTRY = np.dtype([("k", "<u4"), ("k2", "u1"), ("sid", "<i8"), ("high", "<u8"), (
 def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: float, parts: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         np.seterr(over="ignore")
-        for b in batches:
+        # small batches give small blobs, which a heap of small regions takes
+        for b in (x[i : i + 2_000] for x in batches for i in range(0, len(x), 2_000)):
             b = b.drop_duplicates("sid")  # copies within the batch
-            if not len(b):
-                continue
             flat = np.concatenate([np.asarray(w, np.int64) for w in b["words"]])
             size = b["words"].map(len).to_numpy()
             if len(held):
@@ -118,8 +117,11 @@ def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: fl
             h = flat.view(np.uint64)
             end = np.cumsum(size)
             start = end - size
-            high = np.bitwise_xor.reduceat(np.uint64(1) << (h & np.uint64(63)), start)
-            low = np.bitwise_xor.reduceat(np.uint32(1) << (mix(h) & np.uint64(31)).astype(np.uint32), start)
+            # one bit of 96 a word, so that a word flips one bit in all
+            bit = mix(h) % np.uint64(96)
+            one = np.uint64(1) << (bit & np.uint64(63))
+            high = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), start)
+            low = np.bitwise_xor.reduceat(np.where(bit < 64, np.uint64(0), one), start).astype(np.uint32)
             each = [keyed(h[i:j], df[i:j], rare, keys, t) for i, j in zip(start, end)]
             n = np.array([len(x) for x in each])
             k = mix(np.concatenate(each))
@@ -174,8 +176,9 @@ class GrayIndex:
     def bound(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return most(a, b, self.t)
 
-    def pairs(self, block: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, at_once: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of positions (in the given order, each pair once) whose codes differ within the bound."""
+        block = max(16, at_once // len(self.codes))  # as many queries at once as bound the pairs held
         for start in range(0, len(self.codes), block):
             q = np.arange(start, min(start + block, len(self.codes)))
             top = len(self.levels[-1][0])
@@ -194,17 +197,15 @@ class GrayIndex:
                 i, node = i[ahead], node[ahead]
                 new = m[node] if fixed is None else m[node] & ~fixed[ahead]
                 acc = np.bitwise_count((self.codes[i] ^ p[node]) & new).sum(1, dtype=np.int64) + (0 if acc is None else acc[ahead])
-                keep = acc <= 2 * self.bound(self.size[i], big[node])
+                keep = acc <= self.bound(self.size[i], big[node])
                 keep &= (big[node] >= self.t * self.size[i] - 1e-6) & (small[node] * self.t <= self.size[i] + 1e-6)
                 i, node, acc, fixed = i[keep], node[keep], acc[keep], m[node[keep]]
-            both = self.bound(self.size[i], self.size[node])
-            x = np.bitwise_count(self.codes[i] ^ self.codes[node])
-            # each half alone differs by no more than the words do
-            ok = (x <= both[:, None]).all(1) & (node > i)
+            x = np.bitwise_count(self.codes[i] ^ self.codes[node]).sum(1, dtype=np.int64)
+            ok = (x <= self.bound(self.size[i], self.size[node])) & (node > i)
             yield self.order[i[ok]], self.order[node[ok]]
 
 
-def search(entries: np.ndarray, t: float, small: int = 24) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search(entries: np.ndarray, t: float, small: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs of sids among the entries of one partition; the key is the topmost pattern and must agree."""
     k = entries["k"].astype(np.uint64) | entries["k2"].astype(np.uint64) << np.uint64(32)
     sid, size = entries["sid"], entries["size"].astype(np.int64)
@@ -235,7 +236,7 @@ def search(entries: np.ndarray, t: float, small: int = 24) -> Iterator[tuple[np.
         if not len(live):
             break
         i, j = live, live + off
-        ok = (np.bitwise_count(codes[i] ^ codes[j]) <= most(size[i], size[j], t)[:, None]).all(1)
+        ok = np.bitwise_count(codes[i] ^ codes[j]).sum(1, dtype=np.int64) <= most(size[i], size[j], t)
         ok &= np.minimum(size[i], size[j]) >= t * np.maximum(size[i], size[j]) - 1e-6
         yield sid[i[ok]], sid[j[ok]]
     for s, c in zip(start[count > small], count[count > small]):
@@ -244,6 +245,11 @@ def search(entries: np.ndarray, t: float, small: int = 24) -> Iterator[tuple[np.
             yield sid[g][i], sid[g][j]
 
 
+def _once(found: list[np.ndarray]) -> pd.DataFrame:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
 def _candidates(t: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blobs: dict[int, list[bytes]] = {}
@@ -251,15 +257,16 @@ def _candidates(t: float):
             for part, e in zip(b["part"], b["entries"]):
                 blobs.setdefault(int(part), []).append(e)
         for part in sorted(blobs):
-            done = np.zeros((0, 2), np.int64)
+            found, held = [], 0
             for x, y in search(np.frombuffer(b"".join(blobs.pop(part)), ENTRY), t):
                 if len(x):
-                    done = np.unique(np.concatenate([done, np.stack([np.minimum(x, y), np.maximum(x, y)], 1)]), axis=0)
-                    if len(done) > 500_000:
-                        yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
-                        done = np.zeros((0, 2), np.int64)
-            if len(done):
-                yield pd.DataFrame({"a": done[:, 0], "b": done[:, 1]})
+                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+                    held += len(x)
+                    if held > 1_000_000:
+                        yield _once(found)
+                        found, held = [], 0
+            if found:
+                yield _once(found)
 
     return run
 
@@ -268,19 +275,61 @@ def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, rare: float =
     """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
     spark = sets.sparkSession
     held, counts, n = common_words(sets, common)
-    # partitions of the index by size: about a million entries each, however many records there are
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * keys // 1_000_000 + 1)
+    # partitions of the index by size: about 400,000 entries each, however many records there are
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * keys // 400_000 + 1)
     entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, rare * n, keys, t, parts), "part bigint, entries binary")
     candidates = entries.repartitionById(parts, F.col("part").cast("int")).mapInPandas(_candidates(t), "a bigint, b bigint")
     pairs = written(candidates.distinct())
     free_shuffles(spark)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    # one row for each set that is in a candidate pair
-    texts = written(sets.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("words").alias("words")))
+    # one row for each set that is in a candidate pair, its words as places in the table of common words or as hashes
+    short = sets.select("sid", "words").mapInPandas(_shortened(held), "sid bigint, common binary, others binary")
+    texts = written(short.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("common").alias("common"), F.first("others").alias("others")))
     free_shuffles(spark)
-    a, b = texts.select(F.col("sid").alias("a"), F.col("words").alias("wa")), texts.select(F.col("sid").alias("b"), F.col("words").alias("wb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("wa", "wb")))
-    return both.select("a", "b", (F.col("both") / (F.size("wa") + F.size("wb") - F.col("both"))).alias("similarity")).where(F.col("similarity") >= t)
+    side = lambda c: texts.select(F.col("sid").alias(c), F.struct("common", "others").alias(f"w{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.mapInPandas(_verified(t), "a bigint, b bigint, similarity double")
+
+
+def _shortened(held: np.ndarray):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            flat = np.concatenate([np.asarray(w, np.int64) for w in b["words"]])
+            end = np.cumsum(b["words"].map(len).to_numpy())
+            at = np.minimum(np.searchsorted(held, flat), max(len(held) - 1, 0)) if len(held) else np.zeros(len(flat), np.int64)
+            known = held[at] == flat if len(held) else np.zeros(len(flat), bool)
+            place, rest, upto = at[known].astype(np.int32), flat[~known], np.concatenate([[0], np.cumsum(known)])
+            common, others, start = [], [], 0
+            for e in end:
+                i, j = upto[start], upto[e]
+                common.append(place[i:j].tobytes())
+                others.append(rest[start - i : e - j].tobytes())
+                start = e
+            yield pd.DataFrame({"sid": b["sid"], "common": common, "others": others})
+
+    return run
+
+
+def _verified(t: float):
+    """The exact similarity of candidate pairs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for x, y, p, q in zip(b["a"], b["b"], b["wa"], b["wb"]):
+                n = both = 0
+                for part, kind in (("common", np.int32), ("others", np.int64)):
+                    u, v = np.frombuffer(p[part], kind), np.frombuffer(q[part], kind)
+                    n += len(u) + len(v)
+                    both += len(np.intersect1d(u, v, assume_unique=True))
+                # in whole numbers where the ratio is at the threshold
+                if n - both and both >= t * (n - both) - 1e-9:
+                    out.append((x, y, both / (n - both)))
+            yield pd.DataFrame(out, columns=["a", "b", "similarity"])
+
+    return run
 
 
 def with_ids(pool: DataFrame) -> DataFrame:
