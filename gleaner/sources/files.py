@@ -61,7 +61,11 @@ class Snapshots:
 def read_days(spark: SparkSession, pattern: str, schema: T.StructType = RECORD) -> tuple[DataFrame, DataFrame]:
     """(rows with day, days): the day is that of the file's name; a day whose file has no rows is still a day."""
     day = F.try_to_date(F.regexp_extract(F.col("_metadata.file_name"), r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
-    files = spark.read.format("binaryFile").load(pattern).select(F.try_to_date(F.regexp_extract("path", r"(\d{4}-\d{2}-\d{2})[^/]*$", 1), "yyyy-MM-dd").alias("day")).where("day is not null").distinct()
+    # names only, one a day: a scan leaves empty files out
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
+    listed = spark.createDataFrame([(f.getPath().getName(),) for f in found], "name string")
+    files = listed.select(F.try_to_date(F.regexp_extract("name", r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd").alias("day")).where("day is not null").distinct()
     lines = spark.read.text(pattern).select("value", day.alias("day")).where(F.trim("value").startswith("{"))
     rows = lines.select("day", F.from_json("value", schema).alias("r")).where("r is not null").select("day", "r.*")
     return rows, files
