@@ -79,14 +79,14 @@ def _sent(seen: dict[int, set[str]]) -> pd.DataFrame:
     for block, words in seen.items():
         for w in words:
             by.setdefault(w, []).append(block)
-    return pd.DataFrame({"word": list(by), "blocks": list(by.values())})
+    return pd.DataFrame({"word": pd.Series(list(by), dtype=object), "blocks": _column(list(by.values()))})
 
 
 def _encoded(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path)
         for b in batches:
-            yield b.assign(ids=[np.array(encode(w), np.int32) for w in b["word"]])
+            yield b.assign(ids=_column([np.array(encode(w), np.int32) for w in b["word"]]).set_axis(b.index))
 
     return run
 
@@ -101,7 +101,7 @@ def _joined(key, texts: Iterator[pd.DataFrame], table: Iterator[pd.DataFrame]) -
         for text in b["text"]:
             words = split(whole(text)) if isinstance(text, str) and text else []
             out.append(np.concatenate([ids[w] for w in words]) if words else np.zeros(0, np.int32))
-        yield pd.DataFrame({"doc_id": b["doc_id"], "ids": out})
+        yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "ids": _column(out)})
 
 
 def word_table(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -120,7 +120,14 @@ def encode(documents: DataFrame, vocabulary: str = VOCABULARY, block_chars: int
 
 def _gathered(key, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
     parts = list(_joined(key, iter([texts]), iter([table])))
-    return pd.concat(parts) if parts else pd.DataFrame({"doc_id": [], "ids": []})
+    return pd.concat(parts)
+
+
+def _column(values: list) -> pd.Series:
+    """Arrays as a column, also where there are none or all are of one length."""
+    out = pd.Series([None] * len(values), dtype=object)
+    out[:] = values
+    return out
 
 
 def pieces(spark: SparkSession, vocabulary: str = VOCABULARY) -> DataFrame:

@@ -15,7 +15,7 @@ held as a table (at most mean words / common entries, however many records there
 
 Copies (equal sets) are one entry of the index; equal texts inside one batch are joined before anything is shuffled.
 
-Defined results: records with a null or blank title or summary are left out; a set of one or two words is keyed by its
+Defined results: records with a null or blank title or summary are left out; a set of at most 2 / t words is also keyed by its
 words; very long texts are taken whole; an empty table gives no pairs; repeated row numbers count once."""
 
 from __future__ import annotations
@@ -78,6 +78,8 @@ PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x
 def keyed(h: np.ndarray, df: np.ndarray, rare: float, keys: int, t: float) -> np.ndarray:
     """The topmost patterns of a record: h its word hashes, df their frequencies (0 for words outside the table)."""
     n = len(h)
+    # two sets of at most 2 / t words may share fewer than three: they meet by single words
+    few = mix(h) if n <= 2 / t + 1e-9 else h[:0]
     # at least as many of the rarest as make three of them common to every similar record
     least = max(8, int((1 - t) * n) + 3)
     take = min(n, max(least, min(int((df <= rare).sum()), 32)))
@@ -85,7 +87,7 @@ def keyed(h: np.ndarray, df: np.ndarray, rare: float, keys: int, t: float) -> np
         h = h[np.lexsort((h, df))[:take]]
     h = np.sort(h)
     if take < 3:
-        return mix(h)
+        return few if len(few) else mix(h)
     if take <= 64:
         a, b, c = triples(take)
         k = (h * PLACES[0])[a] ^ (h * PLACES[1])[b] ^ (h * PLACES[2])[c]
@@ -94,7 +96,8 @@ def keyed(h: np.ndarray, df: np.ndarray, rare: float, keys: int, t: float) -> np
         g = np.sort(mix(h))
         k = (g * PLACES[0])[:-2] ^ (g * PLACES[1])[1:-1] ^ (g * PLACES[2])[2:]
         keys *= 4
-    return k if len(k) <= keys else np.partition(k, keys)[:keys]
+    k = k if len(k) <= keys else np.partition(k, keys)[:keys]
+    return np.concatenate([few, k]) if len(few) else k
 
 
 #: One entry of the index as it is shuffled: key, set, fingerprint and size without the padding of a row.
