@@ -1,8 +1,8 @@
 """Encoding of the whole corpus with a public tokenizer.
 
 Texts are split by the tokenizer's pattern; every distinct word of a block of documents is gathered once, the words of all
-blocks are made distinct, each is encoded once, and the ids go back to the blocks that hold the word, where they are put
-in the places of the word in every text. Blocks are bounded in size, so is what a block needs of the table. Decoding
+blocks are brought together by word, each is encoded once, and the ids go back to the blocks that hold the word, where
+they are put in the places of the word in every text. Blocks are bounded in size, so is what a block needs of the table. Decoding
 explodes the ids, joins the table of pieces and joins the pieces in order.
 
 Defined results: a null, empty or blank-less text: null and empty give an empty list, blanks their own ids; strings that look like
@@ -18,14 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import spread, written
-
 #: Where the vocabulary files are; a parameter everywhere.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that splits text before the merges (a fixed value of the vocabulary).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of text in a block, about; the unit that meets its part of the word table in one task.
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 3_000_000
 
 
 def splitter():
@@ -58,40 +56,32 @@ def blocked(documents: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     return documents.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")), blocks
 
 
-def _block_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The distinct words of each block within this task."""
-    split, seen = splitter(), {}
-    for b in batches:
-        for block, text in zip(b["block"], b["text"]):
-            if isinstance(text, str) and text:
-                words = seen.get(block)
-                if words is None:
-                    words = seen[block] = set()
-                words.update(split(whole(text)))
-        if sum(map(len, seen.values())) > 400_000:  # bounds the task's memory; the same word may be given again
-            yield _sent(seen)
-            seen = {}
-    yield _sent(seen)
-
-
-def _sent(seen: dict[int, set[str]]) -> pd.DataFrame:
-    by: dict[str, list[int]] = {}
-    for block, words in seen.items():
-        for w in words:
-            by.setdefault(w, []).append(block)
-    return pd.DataFrame({"word": pd.Series(list(by), dtype=object), "blocks": _column(list(by.values()))})
+def _block_words(key: tuple, texts: pd.DataFrame) -> pd.DataFrame:
+    """The distinct words of a block."""
+    split, seen = splitter(), set()
+    for text in texts["text"]:
+        if isinstance(text, str) and text:
+            seen.update(split(whole(text)))
+    return pd.DataFrame({"block": np.full(len(seen), key[0], np.int32), "word": pd.Series(list(seen), dtype=object)})
 
 
 def _encoded(path: str):
+    """Adds ids to (word, block) in the order of words: each word is encoded when it first comes."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(path)
+        encode, last, ids = encoder(path), None, None
         for b in batches:
-            yield b.assign(ids=_column([np.array(encode(w), np.int32) for w in b["word"]]).set_axis(b.index))
+            out = []
+            for w in b["word"]:
+                if w != last:
+                    last, ids = w, np.array(encode(w), np.int32)
+                out.append(ids)
+            yield b.assign(ids=_column(out).set_axis(b.index))
 
     return run
 
 
-def _joined(key, texts: Iterator[pd.DataFrame], table: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _joined(key: tuple, texts: Iterator[pd.DataFrame], table: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     split, ids = splitter(), {}
     for b in table:
         for w, x in zip(b["word"], b["ids"]):
@@ -105,20 +95,19 @@ def _joined(key, texts: Iterator[pd.DataFrame], table: Iterator[pd.DataFrame]) -
 
 
 def word_table(texts: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(word, blocks, ids): every distinct word of all texts once, with its ids and the blocks that hold it."""
-    found = spread(texts.select("block", "text")).mapInPandas(_block_words, "word string, blocks array<int>")
-    once = found.groupBy("word").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
-    return once.mapInPandas(_encoded(vocabulary), "word string, blocks array<int>, ids array<int>")
+    """(block, word, ids): the distinct words of every block. All rows of a word lie in one partition, one after the other, and
+    the word is encoded once."""
+    found = texts.groupBy("block").applyInPandas(_block_words, "block int, word string")
+    return found.repartition("word").sortWithinPartitions("word").mapInPandas(_encoded(vocabulary), "block int, word string, ids array<int>")
 
 
 def encode(documents: DataFrame, vocabulary: str = VOCABULARY, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, ids) of documents (doc_id, text)."""
+    """(doc_id, ids) of documents (doc_id, text). Texts are shuffled once, by block: the words and the ids use that exchange."""
     texts, _ = blocked(documents, block_chars)
-    table = word_table(texts, vocabulary).select(F.explode("blocks").alias("block"), "word", "ids")
-    return texts.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_gathered, "doc_id bigint, ids array<int>")
+    return texts.groupBy("block").cogroup(word_table(texts, vocabulary).groupBy("block")).applyInPandas(_gathered, "doc_id bigint, ids array<int>")
 
 
-def _gathered(key, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+def _gathered(key: tuple, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
     parts = list(_joined(key, iter([texts]), iter([table])))
     return pd.concat(parts)
 

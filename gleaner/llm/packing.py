@@ -36,11 +36,11 @@ SHARD_ITEMS = 4_000
 def sizes(documents: DataFrame, vocabulary: str = E.VOCABULARY) -> DataFrame:
     """(doc_id, tokens) of documents (doc_id, text) by the distinct-word table."""
     texts, _ = E.blocked(documents)
-    table = E.word_table(texts, vocabulary).select(F.explode("blocks").alias("block"), "word", F.size("ids").alias("n"))
+    table = E.word_table(texts, vocabulary).select("block", "word", F.size("ids").alias("n"))
     return texts.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_counted, "doc_id bigint, tokens bigint")
 
 
-def _counted(key, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+def _counted(key: tuple, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
     split, n = E.splitter(), dict(zip(table["word"], table["n"]))
     tokens = [sum(map(n.__getitem__, split(E.whole(t)))) if isinstance(t, str) and t else 0 for t in texts["text"]]
     return pd.DataFrame({"doc_id": texts["doc_id"], "tokens": tokens})

@@ -51,6 +51,7 @@ STRONG = re.compile(
     r"|<!--\s*(?P<m>[\w.:]+) goes here\s*-->"
     r"|\*\|(?P<n>[A-Z][\w:]*)\|\*"
     r"|\{(?P<o>\d)\}"
+    r"|(?<![\w%])%(?P<p>s|d|\d\$[sd])(?![\w%])"
 )
 WEAK = re.compile(
     r"\{\s*(?P<a>[A-Za-z][\w.:-]*)\s*\}"
@@ -88,7 +89,7 @@ LEX = frozenset(
     "up update updated upgrade upstream us use used using verify verifying version view viewing visit wait was we we'll we're we've web website welcome were what when "
     "which while who will window with without won won't work works working world wraps write writing wrong you your yourself headline blurb body caption intro lede lead nan none object "
     "keyerror exception line file render call last www srv index php html id made assistant purposes closes lines two reference ray region country met condition condition did answer answered"
-    " center centre desk team captcha cloudflare ddos challenge human bots bot automated traffic unusual suspicious activity firewall protected origin host resolve dns timeout timed bad found visitor visitors js"
+    " another other different date dates modern instead otherwise might would like let lets sent given provided part parts full whole items find lost going being had were into through much very really never always whether neither both each per via whatever whoever center centre desk team captcha cloudflare ddos challenge human bots bot automated traffic unusual suspicious activity firewall protected origin host resolve dns timeout timed bad found visitor visitors js"
     # German
     " aktivieren aktiviert aktiviere angeforderte angezeigt angezeigte anmelden anreißer anzeigen anzuzeigen auf aus beispieltext bitte blindtext browser cookies damit das dass der des deaktiviert deaktivieren die diese diesem dieser "
     "dieses ein eine einen einer ersetzen erlauben erneut erscheint es existiert fehler fehlercode gefunden gesperrt gewartet haben hier ihr ihre ihrem ihren im in inhalt ist javascript kann kein keine können laden leider "

@@ -2,6 +2,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.llm import encode as E
 from gleaner.llm import packing as P
@@ -26,9 +27,11 @@ def test_ids_equal_the_tokenizer_and_round_trip(spark):
 
 
 def test_each_distinct_word_is_encoded_once(spark):
-    texts, _ = E.blocked(docs(spark, ["same words here", "same words there"] * 50))
-    table = E.word_table(texts)
-    assert table.count() == table.select("word").distinct().count() == 4
+    texts, blocks = E.blocked(docs(spark, ["same words here", "same words there"] * 50))
+    table = E.word_table(texts).cache()
+    assert table.select("word").distinct().count() == 4 and table.count() == table.distinct().count() <= 4 * blocks
+    # a word's rows lie in one partition
+    assert table.select("word", F.spark_partition_id().alias("p")).distinct().count() == 4
 
 
 def test_sizes(spark):
