@@ -145,3 +145,54 @@ def dimensions(df: DataFrame, names: list[str]) -> DataFrame:
     long = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.col(n).cast("double").alias("v")) for n in names])).alias("x")).select("x.*")
     return long.groupBy("dim").agg(F.count("v").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), (F.max("v") - F.min("v")).alias("spread"), F.round(F.avg("v"), 4).alias("mean"),
                                    F.count_distinct("v").alias("values"))
+
+
+def by_month(digests: DataFrame) -> DataFrame:
+    """Every month from the first to the last digest, with its digests."""
+    span = digests.agg(F.trunc(F.min("date"), "MM").alias("a"), F.trunc(F.max("date"), "MM").alias("b")).where("a is not null")
+    every = span.select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("m"))
+    have = digests.groupBy(F.trunc("date", "MM").alias("m")).agg(F.count("*").alias("digests"))
+    return every.join(have, "m", "left").select(F.date_format("m", "yyyy-MM").alias("month"), F.coalesce("digests", F.lit(0)).alias("digests"))
+
+
+def violations(digests: DataFrame) -> DataFrame:
+    """theme, slug, rule for each rule broken: count (itemCount is not the number of sources), format, tldr, title, source_url."""
+    blank = lambda c: F.trim(F.coalesce(c, F.lit(""))) == ""
+    rules = {
+        "count": ~F.equal_null("itemCount", F.array_size("sources")), "format": F.col("format").isNull() | ~F.col("format").isin("daily", "weekly"), "tldr": blank("tldr"), "title": blank("title"),
+        "source_url": F.coalesce(F.exists("sources", lambda s: ~F.rlike(F.coalesce(s["url"], F.lit("")), F.lit("^https?://"))), F.lit(False)),
+    }
+    broken = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))
+    return digests.select("theme", "slug", F.explode(broken).alias("rule"))
+
+
+def listing(digests: DataFrame) -> DataFrame:
+    """Per theme the digests with something to try, to share, weekly ones, and those of the last 7 and 30 days."""
+    rows = digests.join(F.broadcast(digests.agg(F.max("date").alias("last"))), F.lit(True))
+    age, some = F.datediff("last", "date"), lambda f: F.coalesce(F.array_size(F.col(f"actions.{f}")), F.lit(0)) > 0
+    return rows.groupBy("theme").agg(F.count_if(some("try")).alias("with_try"), F.count_if(some("share")).alias("with_share"), F.count_if(F.coalesce(F.col("format") == "weekly", F.lit(False))).alias("weekly"),
+                                     F.count_if(age <= 7).alias("week"), F.count_if(age <= 30).alias("month"))
+
+
+def signal_key(theme: str, slug: str, kind: str, idx: str) -> Column:
+    return F.concat_ws(":", F.lit("wl"), theme, slug, kind, F.col(idx).cast("string"))
+
+
+def parse_keys(keys: DataFrame) -> DataFrame:
+    """key, theme, slug, type, idx of five-part keys; others are left out."""
+    p = F.split("key", ":")
+    idx = F.get(p, F.lit(4)).try_cast("int")
+    return keys.where((F.size(p) == 5) & (F.get(p, F.lit(0)) == "wl") & idx.isNotNull()).select(
+        "key", F.get(p, F.lit(1)).alias("theme"), F.get(p, F.lit(2)).alias("slug"), F.get(p, F.lit(3)).alias("type"), idx.alias("idx")
+    )
+
+
+def signal_texts(parsed: DataFrame, acts: DataFrame) -> DataFrame:
+    return parsed.join(acts, ["theme", "slug", "type", "idx"]).select("key", "theme", "slug", "type", "idx", "text")
+
+
+def instant(stamp: Column) -> Column:
+    """A stamp with an offset as an instant: Z, +0200 and +02:00 are read, and minutes without seconds."""
+    s = F.regexp_replace(F.trim(stamp), r"([+-]\d{2})(\d{2})$", "$1:$2")
+    s = F.regexp_replace(s, r"(T\d{2}:\d{2})(Z|[+-]\d{2}:\d{2})$", "$1:00$2")
+    return F.when(F.rlike(s, F.lit(r"(?:Z|[+-]\d{2}:\d{2})$")), F.try_to_timestamp(s))

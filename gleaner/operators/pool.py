@@ -98,3 +98,28 @@ def rebuild_ledger(published: DataFrame) -> DataFrame:
 
 def windowed(df: DataFrame, by: list[str], order: list[Column], name: str = "place") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def source_filtered(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
+    """row_no and name of the rows whose title and summary match their source's pattern (any case; no pattern passes), and of
+    those the first filter_cap of a day by row_no."""
+    dim = source_dim.select("name", "filter_regex", "filter_cap")
+    text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("summary", F.lit("")))
+    rows = pool.select("row_no", F.col("source").alias("name"), day_of(F.col("first_seen")).alias("day"), text.alias("text")).where("day is not null").join(dim, "name")
+    passed = rows.where(F.col("filter_regex").isNull() | F.regexp_like("text", F.concat(F.lit("(?i)"), "filter_regex"))).drop("text")
+    capped = windowed(passed.where("filter_cap is not null"), ["day", "name"], [F.asc("row_no")]).where("place <= filter_cap").drop("place")
+    return passed.where("filter_cap is null").unionByName(capped).select("row_no", "name")
+
+
+def holds_term(columns: list[str], terms: list[str]) -> Column:
+    """Whether any term stands in the columns' text, in any case, or without spaces in the text without spaces. No terms at
+    all are an error: a blocklist that was not read must not let everything pass."""
+    terms = [t.strip().lower() for t in terms if t.strip()]
+    if not terms:
+        raise ValueError("the list of blocked terms is empty")
+    hay = F.lower(F.concat_ws(" ", *columns))
+    squashed = F.replace(hay, F.lit(" "), F.lit(""))
+    found = F.lit(False)
+    for t in terms:
+        found = found | F.contains(hay, F.lit(t)) | F.contains(squashed, F.lit(t.replace(" ", "")))
+    return found

@@ -424,6 +424,98 @@ def dimension_spread(spark: SparkSession, d: str) -> DataFrame:
     return digests.dimensions(table(spark, d, "lineitem"), ["l_quantity", "l_discount", "l_tax"])
 
 
+# ---- filters by parameters, quality of tables
+
+
+@query(f"""WITH p AS (SELECT p.row_no, {S.day('p.first_seen')} AS day, s.name, s.filter_cap FROM pool p JOIN source_dim s ON s.name = p.source
+  WHERE s.filter_regex IS NULL OR regexp_matches(coalesce(p.title, '') || ' ' || coalesce(p.summary, ''), '(?i)' || s.filter_regex)),
+r AS (SELECT *, row_number() OVER (PARTITION BY day, name ORDER BY row_no) AS place FROM p WHERE day IS NOT NULL)
+SELECT row_no, name FROM r WHERE filter_cap IS NULL OR place <= filter_cap""")
+def source_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that pass their source's pattern, and of those the first filter_cap of a day."""
+    return pool.source_filtered(table(spark, d, "pool"), table(spark, d, "source_dim"))
+
+
+BLOCKED = ["supplier portal", "Lorem Ipsum", "half-finished"]
+
+
+@query("""WITH t AS (SELECT row_no, lower(concat_ws(' ', title, summary, url, source)) AS h FROM pool)
+SELECT row_no FROM t WHERE contains(h, 'supplier portal') OR contains(h, 'lorem ipsum') OR contains(h, 'half-finished')
+  OR contains(replace(h, ' ', ''), 'supplierportal') OR contains(replace(h, ' ', ''), 'loremipsum') OR contains(replace(h, ' ', ''), 'half-finished')""")
+def blocked_terms(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pool").where(pool.holds_term(["title", "summary", "url", "source"], BLOCKED)).select("row_no")
+
+
+@query("""WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS h FROM documents) SELECT doc_id FROM t WHERE contains(h, 'supplier portal') OR contains(h, 'lorem ipsum') OR contains(h, 'half-finished')
+  OR contains(replace(h, ' ', ''), 'supplierportal') OR contains(replace(h, ' ', ''), 'loremipsum') OR contains(replace(h, ' ', ''), 'half-finished')""")
+def blocked_documents(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").where(pool.holds_term(["text"], BLOCKED)).select("doc_id")
+
+
+@query(f"""WITH {S.PARTS}, a AS (SELECT unnest(list_filter(string_split(query, '&'), lambda q: q <> '')) AS p FROM ident),
+b AS (SELECT unnest(list_filter(string_split(query, '&'), lambda q: q <> '' AND NOT starts_with(lower(q), 'utm_'))) AS p FROM ident)
+SELECT split_part(p, '=', 1) AS name, count(*) AS removed FROM (SELECT p FROM a EXCEPT ALL SELECT p FROM b) GROUP BY 1""")
+def params_removed(spark: SparkSession, d: str) -> DataFrame:
+    """Parameters that the display addresses lost, counted as a difference of multisets."""
+    rows = table(spark, d, "pool")
+    params = lambda u: rows.select(F.explode(F.filter(F.split(url.part(u, 4), "&"), lambda q: q != "")).alias("p"))
+    lost = params(url.trimmed(F.col("url"))).exceptAll(params(url.display_url(F.col("url"))))
+    return lost.groupBy(F.get(F.split("p", "=", 2), F.lit(0)).alias("name")).agg(F.count("*").alias("removed"))
+
+
+@query(f"""WITH p AS (SELECT row_no, {S.day('first_seen')} AS day FROM pool), l AS (SELECT DISTINCT day FROM p WHERE day IS NOT NULL ORDER BY day DESC LIMIT 5)
+SELECT row_no, day FROM p WHERE day IN (SELECT day FROM l)""")
+def latest_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the last five batches that exist."""
+    rows = table(spark, d, "pool").select("row_no", day_of(F.col("first_seen")).alias("day"))
+    last = rows.where("day is not null").select("day").distinct().orderBy(F.desc("day")).limit(5)
+    return rows.join(last, "day", "left_semi").select("row_no", "day")
+
+
+@query("""WITH b AS (SELECT min(date) AS a, max(date) AS b FROM digest), m AS (SELECT unnest(generate_series(date_trunc('month', a), date_trunc('month', b), INTERVAL 1 MONTH)) AS m FROM b)
+SELECT strftime(m, '%Y-%m') AS month, count(g.slug) AS digests FROM m LEFT JOIN digest g ON date_trunc('month', g.date) = m GROUP BY 1""")
+def months(spark: SparkSession, d: str) -> DataFrame:
+    return digests.by_month(table(spark, d, "digest"))
+
+
+@query("""SELECT theme, slug, rule FROM (
+  SELECT theme, slug, 'count' AS rule FROM digest WHERE itemCount IS DISTINCT FROM len(sources)
+  UNION ALL SELECT theme, slug, 'format' FROM digest WHERE format IS NULL OR format NOT IN ('daily', 'weekly')
+  UNION ALL SELECT theme, slug, 'tldr' FROM digest WHERE trim(coalesce(tldr, '')) = ''
+  UNION ALL SELECT theme, slug, 'title' FROM digest WHERE trim(coalesce(title, '')) = ''
+  UNION ALL SELECT theme, slug, 'source_url' FROM digest WHERE len(list_filter(sources, lambda s: NOT regexp_matches(coalesce(s.url, ''), '^https?://'))) > 0)""")
+def digest_violations(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each rule a digest breaks."""
+    return digests.violations(table(spark, d, "digest"))
+
+
+@query("""SELECT theme, count(*) FILTER (len(actions."try") > 0) AS with_try, count(*) FILTER (len(actions.share) > 0) AS with_share, count(*) FILTER (format = 'weekly') AS weekly,
+  count(*) FILTER (date_diff('day', date, m) <= 7) AS week, count(*) FILTER (date_diff('day', date, m) <= 30) AS month FROM digest, (SELECT max(date) AS m FROM digest) GROUP BY 1""")
+def digest_listing(spark: SparkSession, d: str) -> DataFrame:
+    return digests.listing(table(spark, d, "digest"))
+
+
+@query("""WITH a AS (SELECT *, 'wl:' || theme || ':' || slug || ':' || type || ':' || idx AS key FROM (
+  SELECT theme, slug, 'try' AS type, i - 1 AS idx, actions."try"[i] AS text FROM digest, range(1, 1000) r(i) WHERE i <= len(actions."try")
+  UNION ALL SELECT theme, slug, 'share', i - 1, actions.share[i].what || ' → ' || actions.share[i].who FROM digest, range(1, 1000) r(i) WHERE i <= len(actions.share)
+  UNION ALL SELECT theme, slug, 'read', i - 1, actions.readDeeper[i] FROM digest, range(1, 1000) r(i) WHERE i <= len(actions.readDeeper)))
+SELECT key, theme, slug, type, idx::INT AS idx, text FROM a""")
+def signal_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of actions written, parsed again and joined back to their texts; skips have no key."""
+    acts = digests.actions(table(spark, d, "digest")).where("type != 'skip'")
+    keys = acts.select(digests.signal_key("theme", "slug", "type", "idx").alias("key"))
+    return digests.signal_texts(digests.parse_keys(keys), acts)
+
+
+@query(r"""WITH n AS (SELECT row_no, coalesce(summary, '') AS s, unnest(list_distinct(list_filter(regexp_extract_all(coalesce(title, ''), '\b[A-Z][A-Za-z0-9]*(?:[.\-+][A-Za-z0-9]+)*\b'),
+  lambda t: length(t) >= 3 AND NOT list_contains(['the', 'why', 'how', 'can', 'from', 'and'], lower(t))))) AS name FROM pool)
+SELECT count(*) AS names, count(*) FILTER (contains(lower(s), lower(name))) AS sourced FROM n""")
+def names_sourced(spark: SparkSession, d: str) -> DataFrame:
+    """Names in titles, and how many of them the summary holds."""
+    found = table(spark, d, "pool").select(F.coalesce("summary", F.lit("")).alias("s"), F.explode(tokens.names(F.col("title"), ["the", "why", "how", "can", "from", "and"])).alias("name"))
+    return found.agg(F.count("*").alias("names"), F.count_if(F.contains(F.lower("s"), F.lower("name"))).alias("sourced"))
+
+
 # ---- sources over tables
 
 

@@ -117,3 +117,27 @@ def test_nearest_days(spark):
     right = spark.createDataFrame([("x", day(3)), ("x", day(5)), ("x", day(8))], "theme string, day date")
     got = {(r.theme, r.day.day): (r.earlier and r.earlier.day, r.later and r.later.day) for r in select.nearest_days(left, right).collect()}
     assert got == {("x", 5): (3, 8), ("x", 1): (None, 3), ("y", 9): (None, None)}
+
+
+def test_blocked_terms_fail_closed(spark):
+    import pytest
+
+    df = rows(spark, [{"row_no": 1, "title": "An ExampleCorp story"}, {"row_no": 2, "title": "other", "summary": None}])
+    assert [r.row_no for r in df.where(pool.holds_term(["title", "summary"], ["Example Corp"])).collect()] == [1]
+    with pytest.raises(ValueError):
+        pool.holds_term(["title"], [" "])
+
+
+def test_instants(spark):
+    df = spark.createDataFrame([("2026-09-01T10:00+0200",), ("2026-09-01T08:00:00Z",), ("2026-09-01T10:00:00",), ("odd",), (None,)], "s string")
+    a, b, *rest = [r[0] for r in df.select(digests.instant(F.col("s"))).collect()]
+    assert a == b is not None and rest == [None, None, None]
+
+
+def test_reply_ids(spark):
+    from gleaner.functions.replies import reply_ids
+
+    one = "0123456789ab"
+    replies = [f'```json\n["{one}", "x"]\n```', f'Sure: [{{"id": "{one}", "why": "a ] in text"}}] done', "none", "[]", None]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(replies)], "i int, r string")
+    assert [r[1] for r in df.select("i", reply_ids("r")).orderBy("i").collect()] == [[one], [one], None, [], None]
