@@ -33,8 +33,9 @@ def numbers(text: Column) -> Column:
 
 
 def names(text: Column, not_names: list[str]) -> Column:
-    """Distinct capitalised tokens of at least three characters, joined by . - or +, that are not in not_names."""
-    found = extract_all(text, r"\b[A-Z][A-Za-z0-9]*(?:[.\-+][A-Za-z0-9]+)*\b")
+    """Distinct capitalised tokens of at least three characters, joined by . - or +, that are not in not_names; a letter of any
+    script beside one makes it no token."""
+    found = extract_all(text, r"(?U)\b[A-Z][A-Za-z0-9]*(?:[.\-+][A-Za-z0-9]+)*\b")
     stop = F.array(*[F.lit(w.lower()) for w in not_names]) if not_names else F.array().cast("array<string>")
     return F.array_distinct(F.filter(found, lambda t: (F.length(t) >= 3) & ~F.array_contains(stop, F.lower(t))))
 

@@ -507,9 +507,7 @@ def signal_keys(spark: SparkSession, d: str) -> DataFrame:
     return digests.signal_texts(digests.parse_keys(keys), acts)
 
 
-@query(r"""WITH n AS (SELECT row_no, coalesce(summary, '') AS s, unnest(list_distinct(list_filter(regexp_extract_all(coalesce(title, ''), '\b[A-Z][A-Za-z0-9]*(?:[.\-+][A-Za-z0-9]+)*\b'),
-  lambda t: length(t) >= 3 AND NOT list_contains(['the', 'why', 'how', 'can', 'from', 'and'], lower(t))))) AS name FROM pool)
-SELECT count(*) AS names, count(*) FILTER (contains(lower(s), lower(name))) AS sourced FROM n""")
+@query()
 def names_sourced(spark: SparkSession, d: str) -> DataFrame:
     """Names in titles, and how many of them the summary holds."""
     found = table(spark, d, "pool").select(F.coalesce("summary", F.lit("")).alias("s"), F.explode(tokens.names(F.col("title"), ["the", "why", "how", "can", "from", "and"])).alias("name"))
