@@ -11,6 +11,7 @@ from gleaner.functions import text, tokens, url
 from gleaner.functions.dates import day_of
 from gleaner.operators import digests, pool, select
 from gleaner.plans import sql as S
+from gleaner.session import ship
 from gleaner.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---- addresses

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,23 @@ def local_session(cores: str = "*", app: str = "gleaner", **extra: str) -> Spark
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Gives the package to the executors' Python workers, once a session: they need not have it on their path."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        here = pathlib.Path(__file__).resolve().parent
+        target = pathlib.Path(tempfile.mkdtemp(prefix="gleaner-")) / "gleaner.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(here.rglob("*.py")):
+                z.write(f, f.relative_to(here.parent))
+        sc.addPyFile(str(target))
+        _SHIPPED.add(sc.applicationId)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session; a local one only where it is unset."""
     sc = spark.sparkContext
