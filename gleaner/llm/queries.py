@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
 from gleaner.llm import dominance, encode, packing, residue, seen, similar, splitting, sql, truncation
+from gleaner.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,11 +142,14 @@ def placed(pool: DataFrame, ledger: DataFrame | None, centers: np.ndarray) -> Da
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) of the two-sided graph (a, b): the least b reachable. Labels pass from b to a and back until none
-    changes; every round is a written table, so neither lineage nor driver grows."""
+    """(b, label) of the two-sided graph (a, b): the least b reachable. Labels pass from b to a and back until none changes;
+    from the third round on a label also takes its own label's, so that long chains need few rounds. Every round is a
+    written table, so neither lineage nor driver grows."""
     edges = written(edges.distinct())
     labels = written(edges.select("b").distinct().withColumn("label", F.col("b")))
+    rounds = 0
     while True:
+        rounds += 1
         at_a = edges.join(labels, "b").groupBy("a").agg(F.min("label").alias("label"), F.max("label").alias("most"))
         # where all b of an a agree already, the a has nothing to pass on
         passing = written(at_a.where(F.col("label") < F.col("most")).select("a", "label"))
@@ -154,6 +157,9 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
         better = edges.join(passing, "a").groupBy("b").agg(F.min("label").alias("less"))
         labels = written(labels.join(better, "b", "left").select("b", F.least("label", "less").alias("label")))
+        if rounds > 2:
+            own = labels.select(F.col("b").alias("label"), F.col("label").alias("far"))
+            labels = written(labels.join(own, "label").select("b", F.least("label", "far").alias("label")))
 
 
 def seen_before(pool: DataFrame, ledger: DataFrame, centers: np.ndarray | None = None) -> DataFrame:

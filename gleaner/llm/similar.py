@@ -34,15 +34,20 @@ from gleaner.session import free_shuffles, spread, written
 FULL = 0xFFFF
 
 
+WORD = r"[\p{L}\p{N}]+"
+
+
 def words(text: Column) -> Column:
     """Hashes of the distinct maximal runs of letters and digits of the lower-cased text."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), 1), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), 0), lambda w: F.xxhash64(w)))
 
 
 def word_sets(pool: DataFrame) -> DataFrame:
     """(row_no, words) of the records with a title and a summary."""
     full = pool.where("trim(title) != '' and trim(summary) != ''").where(F.regexp_like("title", F.lit(r"(?U)\S")) & F.regexp_like("summary", F.lit(r"(?U)\S")))
-    return full.select("row_no", words(F.concat_ws(" ", "title", "summary")).alias("words")).where(F.size("words") > 0)
+    # a test of the words themselves would split every text twice
+    some = F.regexp_like("title", F.lit(WORD)) | F.regexp_like("summary", F.lit(WORD))
+    return full.where(some).select("row_no", words(F.concat_ws(" ", "title", "summary")).alias("words"))
 
 
 def common_words(sets: DataFrame, common: float) -> tuple[np.ndarray, np.ndarray, int]:
@@ -338,7 +343,7 @@ def _verified(t: float):
 def with_ids(pool: DataFrame) -> DataFrame:
     """Word sets with sid, the hash of the sorted set: copies have one sid."""
     sets = word_sets(pool)
-    return sets.withColumn("sid", F.xxhash64(F.array_sort("words")))
+    return sets.withColumn("sid", F.xxhash64(F.sort_array("words")))
 
 
 def stored(pool: DataFrame, leave_out: DataFrame | None = None) -> DataFrame:
