@@ -279,21 +279,24 @@ def _candidates(t: float):
     return run
 
 
-def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, rare: float = 0.02, common: float = 0.0005) -> DataFrame:
-    """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
-    spark = sets.sparkSession
+def _candidate_pairs(sets: DataFrame, t: float, keys: int, rare: float, common: float) -> tuple[np.ndarray, DataFrame]:
+    """The table of common words and the candidate pairs, as a table; nothing else of the index outlives the call."""
     held, counts, n = common_words(sets, common)
     # partitions of the index by size: about 400,000 entries each, however many records there are
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n * keys // 400_000 + 1)
+    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * keys // 400_000 + 1)
     entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, rare * n, keys, t, parts), "part bigint, entries binary")
     candidates = entries.repartitionById(parts, F.col("part").cast("int")).mapInPandas(_candidates(t), "a bigint, b bigint")
-    pairs = written(candidates.distinct())
-    free_shuffles(spark)
+    return held, written(candidates.distinct())
+
+
+def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, rare: float = 0.02, common: float = 0.0005) -> DataFrame:
+    """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
+    held, pairs = _candidate_pairs(sets, t, keys, rare, common)
+    free_shuffles(sets.sparkSession)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     # one row for each set that is in a candidate pair, its words as places in the table of common words or as hashes
     short = sets.select("sid", "words").mapInPandas(_shortened(held), "sid bigint, common binary, others binary")
     texts = written(short.join(ids, "sid", "left_semi").groupBy("sid").agg(F.first("common").alias("common"), F.first("others").alias("others")))
-    free_shuffles(spark)
     side = lambda c: texts.select(F.col("sid").alias(c), F.struct("common", "others").alias(f"w{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.mapInPandas(_verified(t), "a bigint, b bigint, similarity double")
