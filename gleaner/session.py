@@ -45,7 +45,7 @@ def ship(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session; a local one only where it is unset."""
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
         now = sc._jsc.sc().getCheckpointDir()
         base = now.get() if now.isDefined() else tempfile.mkdtemp(prefix="gleaner-")
