@@ -118,22 +118,10 @@ def _rows(pool: DataFrame, ledger: DataFrame | None) -> DataFrame:
 
 
 def fit_centers(pool: DataFrame, count: int = 256, sample: int = 8192) -> np.ndarray:
-    """Centroids of the address vectors of at most `sample` rows."""
-    rows = _rows(pool, None)
-    picked = rows.where("url is not null").orderBy(F.xxhash64("url")).limit(sample)
+    """Centroids of the address vectors of about `sample` rows, at most twice as many."""
     cache: dict[str, np.ndarray] = {}
-    pages = {p for r in picked.select("url").collect() if (p := page_address(r[0]))}
-    data = np.array([cells.token_vector(WORDS.findall(p), cache) for p in sorted(pages)], np.float32)
-    if len(data) == 0:
-        return np.zeros((1, cells.DIM), np.float32)
-    rng = np.random.default_rng(7)
-    centers = data[rng.permutation(len(data))[: max(1, min(count, len(data) // 8 or 1))]].copy()
-    for _ in range(5):
-        near = cells.nearest(data, centers)[0]
-        for c in range(len(centers)):
-            if (own := near == c).any():
-                centers[c] = data[own].mean(0)
-    return centers
+    pages = {p for r in cells.sampled(_rows(pool, None).where("url is not null").select("url"), sample) if (p := page_address(r[0]))}
+    return cells.centroids(np.array([cells.token_vector(WORDS.findall(p), cache) for p in sorted(pages)], np.float32), count)
 
 
 def placed(pool: DataFrame, ledger: DataFrame | None, centers: np.ndarray) -> DataFrame:
@@ -204,10 +192,10 @@ class History:
         vectors fall in; links through several pages are those of the batch and of the rows it meets."""
         spark = batch.sparkSession
         new = written(placed(batch, ledger, self.centers))
-        held = spark.read.schema(new.schema).parquet(f"{self.path}/cells")
+        held = spark.read.schema(new.schema).parquet(f"{self.path}/cells").select("id", "page", "cell", "day")
         met_page = held.where("page is not null").join(new.where("page is not null").select("cell", "page").distinct(), ["cell", "page"], "left_semi")
-        met_id = held.where("id is not null").join(new.where("id is not null").select("id").distinct(), "id", "left_semi").select(held.columns)
-        met = met_page.unionByName(met_id).distinct() if held.columns else met_page
+        met_id = held.where("id is not null").join(new.where("id is not null").select("id").distinct(), "id", "left_semi")
+        met = met_page.unionByName(met_id)
         by = lambda key: met.where(F.col(key).isNotNull() & F.col("day").isNotNull()).groupBy(key).agg(F.min("day").alias("held_day"))
         inner = lambda key: new.where(F.col(key).isNotNull() & F.col("day").isNotNull() & (F.col("origin") == "pool")).groupBy(key).agg(F.min(F.struct("day", "row_no")).alias("inner_first"))
         out = []
