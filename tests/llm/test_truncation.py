@@ -49,5 +49,13 @@ def test_a_headline_is_cut_at_a_limit_only(spark):
     assert all(got[i] == (i < 300) for i in range(900))
 
 
+def test_lengths_of_headlines_cluster_without_being_limits(spark):
+    rng = random.Random(11)
+    rows = [(i, f"s{i % 7}", "Words " + "x" * int(rng.gauss(60, 4)), None, None, None) for i in range(6000)]
+    rows += [(10_000 + i, f"s{i % 7}", "A whole text. " + "x" * rng.randint(20, 300) + ".", None, None, None) for i in range(3000)]
+    rows += [(20_000 + i, "s1", "Field notes on one and the same subject", None, None, None) for i in range(30)]
+    assert T.truncated(spark.createDataFrame(rows, POOL)).where("cut").count() == 0
+
+
 def test_empty(spark):
     assert T.truncated(spark.createDataFrame([], POOL)).count() == 0
