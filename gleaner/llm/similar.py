@@ -6,12 +6,16 @@ its words) then differs in at most d bits: the Hamming bound loses no pair. Fing
 whose upper nodes hold masked bit patterns that their groups share, in Gray order below; searching accumulates the
 differences in the newly fixed bits of each level and prunes whole groups beyond the bound.
 
-The index is spread over the cluster by its topmost patterns: keys of three words each out of a record's rarest words,
-the `keys` least by hash of all such triples. Two similar records share most rare words and so some triple: with all
-triples below `keys` nothing is lost; beyond, a pair at the threshold whose differences all fall on rare words is missed
-with a probability of about (1 - s)^keys, s the share of common triples (0.21 at 48 words: 3e-3 for 24 keys), and pairs
-above it far less. Word frequencies are counted over all records; only words in more than `common` of the records are
-held as a table (at most mean words / common entries, however many records there are), the others rank as rarest.
+The index is spread over the cluster by its topmost patterns, keys of one, two or three words, which lose no pair either.
+Words have one order, by frequency and hash. A set of n words shares at least t * n with every similar one, so of the
+words two sets share the first, second and third are among the first n - t * n + 1, + 2 and + 3 of either (prefixes). The
+first alone is the key if it is rare (in at most `alone` of the records); else the first two, or all three where the first
+two are so frequent that by chance more than `hot` of the records had both. Which of these holds depends on the words only,
+so both sets have the key of the words they share first, wherever their differences lie. Sets of more than LONG words,
+and those they may be similar to, are keyed by every word of the prefix alone, which bounds the keys of a record.
+The index is built and searched in rounds of about `keys` keys a record, by the first word, and each round's shuffle is
+dropped before the next. Word frequencies are counted over all records; only words in more than `common` of the records
+are held as a table (at most mean words / common entries, however many records there are), the others rank as rarest.
 
 Copies (equal sets) are one entry of the index; equal texts inside one batch are joined before anything is shuffled.
 
@@ -21,7 +25,7 @@ words; very long texts are taken whole; an empty table gives no pairs; repeated
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -61,11 +65,16 @@ def common_words(sets: DataFrame, common: float) -> tuple[np.ndarray, np.ndarray
     return held["w"].to_numpy(np.int64)[order], held["n"].to_numpy(np.int64)[order], n
 
 
-@lru_cache(maxsize=64)
-def triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    a, b, c = np.meshgrid(np.arange(n), np.arange(n), np.arange(n), indexing="ij")
-    keep = (a < b) & (b < c)
-    return a[keep].astype(np.int16), b[keep].astype(np.int16), c[keep].astype(np.int16)
+@lru_cache(maxsize=256)
+def places(p: int, n: int) -> tuple[np.ndarray, ...]:
+    """The places (a, b) of pairs and (x, y, z) of triples of words in order, the first of them among the first p, the next
+    among the first p + 1 and p + 2 of n."""
+    i, j = np.meshgrid(np.arange(p), np.arange(min(p + 1, n)), indexing="ij")
+    a, b = i[i < j], j[i < j]
+    k = np.arange(min(p + 2, n))
+    more = b[:, None] < k[None, :]
+    pair, z = np.nonzero(more)
+    return a, b, pair, a[pair], b[pair], z
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -80,36 +89,70 @@ def mix(h: np.ndarray) -> np.ndarray:
 PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def keyed(h: np.ndarray, df: np.ndarray, rare: float, keys: int, t: float) -> np.ndarray:
-    """The topmost patterns of a record: h its word hashes, df their frequencies (0 for words outside the table)."""
-    n = len(h)
+#: Sets of more words are keyed by single words.
+LONG = 128
+
+
+def keyed(h: np.ndarray, df: np.ndarray, t: float, alone: float, hot: float, turn: int = 0, turns: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of the topmost patterns of sets of equal size: h their word hashes, a row each, df their frequencies (0 for
+    words outside the table). alone and hot: greatest frequency of a first word, and greatest product of the first two's.
+    Only keys whose first word belongs to this turn."""
+    n = h.shape[1]
+    p = n - max(1, int(np.ceil(t * n - 1e-6))) + 1
+    mine = lambda w: (mix(w) >> np.uint64(20)) % np.uint64(turns) == np.uint64(turn)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(mask: np.ndarray, keys: np.ndarray) -> None:
+        at = np.nonzero(mask)
+        out.append((at[0], keys[at]))
+
     # two sets of at most 2 / t words may share fewer than three: they meet by single words
-    few = mix(h) if n <= 2 / t + 1e-9 else h[:0]
-    # at least as many of the rarest as make three of them common to every similar record
-    least = max(8, int((1 - t) * n) + 3)
-    take = min(n, max(least, min(int((df <= rare).sum()), 32)))
-    if take < n:
-        h = h[np.lexsort((h, df))[:take]]
-    h = np.sort(h)
-    if take < 3:
-        return few if len(few) else mix(h)
-    if take <= 64:
-        a, b, c = triples(take)
-        k = (h * PLACES[0])[a] ^ (h * PLACES[1])[b] ^ (h * PLACES[2])[c]
-    else:
-        # very long: triples of neighbours in the order of hashes, which similar sets share as they share their words
-        g = np.sort(mix(h))
-        k = (g * PLACES[0])[:-2] ^ (g * PLACES[1])[1:-1] ^ (g * PLACES[2])[2:]
-        keys *= 4
-    k = k if len(k) <= keys else np.partition(k, keys)[:keys]
-    return np.concatenate([few, k]) if len(few) else k
+    if n <= 2 / t + 1e-9:
+        add(mine(h), mix(h))
+    order = np.lexsort((h, df))[:, : p + 2]
+    g, f = np.take_along_axis(h, order, 1), np.take_along_axis(df, order, 1).astype(np.float64)
+    own = mine(g[:, :p])
+    one, two, three = (g * x for x in PLACES)
+    if n >= t * LONG - 1e-6:
+        add(own, mix(one[:, :p] ^ two[:, :p]))  # a pattern of the long ones alone
+    if n <= LONG:
+        single = f[:, :p] <= alone
+        add(own & single, one[:, :p])
+        a, b, pair, x, y, z = places(p, n)
+        both = (own & ~single)[:, a]
+        often = f[:, a] * f[:, b] > hot
+        first = one[:, a] ^ two[:, b]
+        add(both & ~often, first)
+        row, at = np.nonzero((both & often)[:, pair])
+        out.append((row, one[row, x[at]] ^ two[row, y[at]] ^ three[row, z[at]]))
+    return np.concatenate([r for r, _ in out]), np.concatenate([k for _, k in out])
+
+
+def all_keys(h: np.ndarray, df: np.ndarray, start: np.ndarray, size: np.ndarray, *how: float) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) of the sets that lie one after the other in h."""
+    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for n in np.unique(size):
+        same = np.flatnonzero(size == n)
+        for part in np.array_split(same, len(same) // 200 + 1):
+            at = start[part][:, None] + np.arange(n)
+            r, k = keyed(h[at], df[at], *how)
+            rows.append(part[r])
+            keys.append(k)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def frequencies(flat: np.ndarray, held: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    if not len(held):
+        return np.zeros(len(flat), np.int64)
+    at = np.minimum(np.searchsorted(held, flat), len(held) - 1)
+    return np.where(held[at] == flat, counts[at], 0)
 
 
 #: One entry of the index as it is shuffled: key, set, fingerprint and size without the padding of a row.
 ENTRY = np.dtype([("k", "<u4"), ("k2", "u1"), ("sid", "<i8"), ("high", "<u8"), ("low", "<u4"), ("size", "<u2")])
 
 
-def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: float, parts: int):
+def _entries(held: np.ndarray, counts: np.ndarray, parts: int, *how: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         np.seterr(over="ignore")
         # small batches give small blobs, which a heap of small regions takes
@@ -117,11 +160,7 @@ def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: fl
             b = b.drop_duplicates("sid")  # copies within the batch
             flat = np.concatenate([np.asarray(w, np.int64) for w in b["words"]])
             size = b["words"].map(len).to_numpy()
-            if len(held):
-                at = np.minimum(np.searchsorted(held, flat), len(held) - 1)
-                df = np.where(held[at] == flat, counts[at], 0)
-            else:
-                df = np.zeros(len(flat), np.int64)
+            df = frequencies(flat, held, counts)
             h = flat.view(np.uint64)
             end = np.cumsum(size)
             start = end - size
@@ -130,13 +169,14 @@ def _entries(held: np.ndarray, counts: np.ndarray, rare: float, keys: int, t: fl
             one = np.uint64(1) << (bit & np.uint64(63))
             high = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), start)
             low = np.bitwise_xor.reduceat(np.where(bit < 64, np.uint64(0), one), start).astype(np.uint32)
-            each = [keyed(h[i:j], df[i:j], rare, keys, t) for i, j in zip(start, end)]
-            n = np.array([len(x) for x in each])
-            k = mix(np.concatenate(each))
+            row, k = all_keys(h, df, start, size, *how)
+            if not len(k):
+                continue
+            k = mix(k)
             out = np.empty(len(k), ENTRY)
             out["k"], out["k2"] = k & np.uint64(0xFFFFFFFF), (k >> np.uint64(32)) & np.uint64(0xFF)
             for name, x in (("sid", b["sid"].to_numpy(np.int64)), ("high", high), ("low", low), ("size", np.minimum(size, FULL))):
-                out[name] = np.repeat(x, n)
+                out[name] = x[row]
             part = ((k >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             out, part = out[order], part[order]
@@ -279,19 +319,37 @@ def _candidates(t: float):
     return run
 
 
-def _candidate_pairs(sets: DataFrame, t: float, keys: int, rare: float, common: float) -> tuple[np.ndarray, DataFrame]:
+def _mean_keys(sets: DataFrame, n: int, held: np.ndarray, counts: np.ndarray, *how: float, sample: int = 2_000) -> float:
+    """Keys of a record, by a sample; only the sizes of rounds and partitions depend on it."""
+    some = [np.asarray(r[0], np.int64) for r in sets.sample(min(1.0, sample / max(n, 1)), 7).select("words").limit(2 * sample).collect()]
+    if not some:
+        return 1.0
+    flat, size = np.concatenate(some), np.array(list(map(len, some)))
+    with np.errstate(over="ignore"):
+        found = all_keys(flat.view(np.uint64), frequencies(flat, held, counts), np.cumsum(size) - size, size, *how)[1]
+    return max(1.0, len(found) / len(some))
+
+
+def _candidate_pairs(sets: DataFrame, t: float, keys: int, alone: float, hot: float, common: float) -> tuple[np.ndarray, DataFrame]:
     """The table of common words and the candidate pairs, as a table; nothing else of the index outlives the call."""
     held, counts, n = common_words(sets, common)
+    how = (t, alone * n, hot * n * n)
+    mean = _mean_keys(sets, n, held, counts, *how)
+    turns = int(np.ceil(mean / keys))
     # partitions of the index by size: about 400,000 entries each, however many records there are
-    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * keys // 400_000 + 1)
-    entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, rare * n, keys, t, parts), "part bigint, entries binary")
-    candidates = entries.repartitionById(parts, F.col("part").cast("int")).mapInPandas(_candidates(t), "a bigint, b bigint")
-    return held, written(candidates.distinct())
+    parts = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(n * mean / turns) // 400_000 + 1)
+    found = []
+    for turn in range(turns):
+        entries = sets.select("sid", "words").mapInPandas(_entries(held, counts, parts, *how, turn, turns), "part bigint, entries binary")
+        found.append(written(entries.repartitionById(parts, F.col("part").cast("int")).mapInPandas(_candidates(t), "a bigint, b bigint")))
+        del entries
+        free_shuffles(sets.sparkSession)
+    return held, written(reduce(DataFrame.unionByName, found).distinct())
 
 
-def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, rare: float = 0.02, common: float = 0.0005) -> DataFrame:
+def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, alone: float = 0.005, hot: float = 0.0004, common: float = 0.0005) -> DataFrame:
     """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
-    held, pairs = _candidate_pairs(sets, t, keys, rare, common)
+    held, pairs = _candidate_pairs(sets, t, keys, alone, hot, common)
     free_shuffles(sets.sparkSession)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     # one row for each set that is in a candidate pair, its words as places in the table of common words or as hashes

@@ -84,3 +84,19 @@ def test_index_finds_every_pair_within_the_bound(n):
             if d <= int(0.3 / 1.7 * (size[a] + size[b]) + 1e-6) and min(size[a], size[b]) >= 0.7 * max(size[a], size[b]):
                 want.add((a, b))
     assert want <= got and got <= want
+
+
+def test_one_sided_insertions_of_the_rarest_words(spark):
+    """All words of a text and further ones that only the longer text has: the rarest of its words tell nothing."""
+    rng = random.Random(11)
+    rows = []
+    for g in range(40):
+        shared = rng.sample([f"c{i}" for i in range(90)], 34)
+        rows.append((2 * g, "t", " ".join(shared), *[None] * 4))
+        rows.append((2 * g + 1, "t", " ".join(shared + [f"only{g}x{i}" for i in range(14)]), *[None] * 4))
+    long = [f"v{i % 1500}" for i in range(1500)]
+    rows += [(1000, "t", " ".join(long), *[None] * 4), (1001, "t", " ".join(long + [f"new{i}" for i in range(600)]), *[None] * 4)]
+    rows += [(1100, "t", " ".join(long[:100]), *[None] * 4), (1101, "t", " ".join(long[:100] + [f"edge{i}" for i in range(40)]), *[None] * 4)]
+    got = {(r.row_a, r.row_b) for r in S.similar_rows(spark.createDataFrame(rows, POOL), 0.7).collect()}
+    want = brute(rows, 0.7)
+    assert got == want and {(1000, 1001), (1100, 1101)} <= want and len(want) >= 42
