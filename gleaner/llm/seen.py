@@ -156,6 +156,11 @@ def seen_before(pool: DataFrame, ledger: DataFrame, centers: np.ndarray | None =
         centers = fit_centers(pool)
     table = written(placed(pool, ledger, centers))
     free_shuffles(pool.sparkSession)
+    return _decided(table)
+
+
+def _decided(table: DataFrame) -> DataFrame:
+    """row_no and day of the pool rows of table (as placed gives it) whose page an earlier row of table had."""
     ident = F.when(F.col("id").isNotNull(), F.unhex(F.md5(F.concat(F.lit("i"), "id"))))
     # the exact comparison within a cell; the cell is part of the key
     page = F.when(F.col("page").isNotNull(), F.unhex(F.md5(F.concat_ws(" ", F.lit("u"), "cell", "page"))))
@@ -186,20 +191,22 @@ class History:
         cells.append(placed(pool, ledger, self.centers), f"{self.path}/cells")
 
     def known(self, batch: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-        """row_no of the batch's rows whose page the history or an earlier row of the batch had by id or address.
+        """row_no of the batch's rows whose page the history, the ledger or an earlier row of the batch had, as seen_before
+        over both.
 
-        Reads of the history only the columns id, page, cell and day, and of its files only the cells that the batch's
-        vectors fall in; links through several pages are those of the batch and of the rows it meets."""
+        Reads of the history the rows that share a page or an id with the batch, then those that share one with these,
+        until none is added; pages are looked up in their cells."""
         spark = batch.sparkSession
-        new = written(placed(batch, ledger, self.centers))
-        held = spark.read.schema(new.schema).parquet(f"{self.path}/cells").select("id", "page", "cell", "day")
-        met_page = held.where("page is not null").join(new.where("page is not null").select("cell", "page").distinct(), ["cell", "page"], "left_semi")
-        met_id = held.where("id is not null").join(new.where("id is not null").select("id").distinct(), "id", "left_semi")
-        met = met_page.unionByName(met_id)
-        by = lambda key: met.where(F.col(key).isNotNull() & F.col("day").isNotNull()).groupBy(key).agg(F.min("day").alias("held_day"))
-        inner = lambda key: new.where(F.col(key).isNotNull() & F.col("day").isNotNull() & (F.col("origin") == "pool")).groupBy(key).agg(F.min(F.struct("day", "row_no")).alias("inner_first"))
-        out = []
-        for key in ("page", "id"):
-            mine = new.where(F.col(key).isNotNull() & F.col("day").isNotNull() & (F.col("origin") == "pool")).select(key, "row_no", "day")
-            out.append(mine.join(by(key), key, "left").join(inner(key), key, "left").where((F.col("held_day") <= F.col("day")) | (F.col("inner_first") < F.struct("day", "row_no"))).select("row_no"))
-        return out[0].unionByName(out[1]).distinct()
+        new = written(placed(batch, ledger, self.centers).drop("vec", "to_center"))
+        held = spark.read.schema(new.schema).parquet(f"{self.path}/cells")
+        keys, reached = new, -1
+        while True:
+            by_page = held.join(keys.where("page is not null").select("cell", "page").distinct(), ["cell", "page"], "left_semi")
+            by_id = held.join(keys.where("id is not null").select("id").distinct(), "id", "left_semi")
+            met = written(by_page.select(new.columns).unionByName(by_id.select(new.columns)).distinct())
+            n = met.count()
+            if n == reached:
+                break
+            keys, reached = new.unionByName(met), n
+        mine = new.where("origin = 'pool'").select("row_no", "day").distinct()
+        return _decided(new.unionByName(met)).join(mine, ["row_no", "day"], "left_semi").select("row_no")
