@@ -75,6 +75,8 @@ class Measure:
     def prepare(self) -> None:
         self.ends = np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)))
         self.tokens = np.cumsum(np.array(self.n, np.int64))
+        #: Whether white space follows the word.
+        self.spaced = np.array([w[:1].isspace() for w in self.words[1:]] + [False], bool)
 
     def whole_at(self, pos: int) -> bool:
         """Whether pos lies between words, or in one of at most 24 characters: a cut there changes the count by little."""
@@ -142,10 +144,8 @@ def _cut(m: Measure, at: np.ndarray, strength: np.ndarray, start: int, end: int)
     ends = m.ends[w:v]
     if len(ends):
         order = np.argsort(np.abs(m.tokens[w:v] - (low + high) / 2), kind="stable")
-        for e in ends[order[:64]]:
-            if m.text[int(e)].isspace():
-                return int(e)
-        return int(ends[order[0]])
+        spaced = order[m.spaced[w:v][order]]
+        return int(ends[spaced[0] if len(spaced) else order[0]])
     if len(here):
         return int(here[len(here) // 2])
     middle = (start + end) // 2

@@ -103,3 +103,9 @@ def test_overlap_must_be_below_the_limit(spark):
     with pytest.raises(ValueError):
         S.split(docs(spark, ["x"]), limit=10, overlap=10)
     assert S.split(docs(spark, [])).count() == 0
+
+
+def test_a_far_white_space_comes_before_the_inside_of_a_run():
+    left, right = "ab12" * 60, " " + "cd34" * 100
+    spans = S.cut_spans(left + right, 250, 0, E.splitter(), S.Counts(lambda w: [0]))
+    assert [x[:2] for x in spans] == [(0, len(left)), (len(left), len(left + right))]
