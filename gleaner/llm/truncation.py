@@ -87,23 +87,29 @@ def endings(pool: DataFrame) -> DataFrame:
     return spread(named).mapInPandas(_lengths, "row_no bigint, source string, ending string, chars int, bytes int, shown int")
 
 
-def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int = 5, ratio: float = 3.0) -> DataFrame:
+def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int = 5, ratio: float = 3.0, heads: int = 20) -> DataFrame:
     """Lengths at which a source (or '*', all sources) cuts: source, measure, length, stops, at_risk, hazard, p.
 
     hazard = unfinished stops at the length / texts at least as long. The hazard of the lengths at most `around` away is
     what chance gives; p is the Chernoff bound of the binomial tail; Benjamini-Hochberg over all tests by counts of
     rounded -log10 p, so that no single task ranks them. At least `least` stops are needed, and a hazard `ratio` times that of
-    the neighbours: among many texts any unevenness of lengths is significant. Headlines are no stops here, since their
-    lengths cluster by themselves; a length that holds at least half of a source's headlines, and 20, is a limit as well."""
-    stops = F.col("ending").isin("open", "mark", "broken", "number").cast("int")
+    the neighbours: among many texts any unevenness of lengths is significant. Headlines are stops of a second kind in the same
+    tests, per measure and against the same neighbours: their lengths cluster by themselves, so a length at which they stop
+    must besides hold back half of the texts that reach it, and `heads` of them, as a field limit does."""
+    unfinished = F.col("ending").isin("open", "mark", "broken", "number")
+    kinds = F.array(F.struct(F.lit("text").alias("kind"), unfinished.cast("int").alias("stop")), F.struct(F.lit("head").alias("kind"), (F.col("ending") == "headline").cast("int").alias("stop")))
     long = ended.select(
-        F.explode(F.array("source", F.lit("*"))).alias("source"), stops.alias("stop"),
+        "source", F.explode(kinds).alias("k"), "chars", "bytes", "shown",
+    ).select(
+        F.explode(F.array("source", F.lit("*"))).alias("source"), "k.kind", "k.stop", "chars", "bytes", "shown",
+    ).select(
+        "source", "kind", "stop",
         F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in ("chars", "bytes", "shown")])).alias("m"),
     )
-    by = long.groupBy("source", "m.measure", "m.length").agg(F.sum("stop").alias("stops"), F.count("*").alias("n"))
+    by = long.groupBy("source", "kind", "m.measure", "m.length").agg(F.sum("stop").alias("stops"), F.count("*").alias("n"))
     # one window holds the lengths of one source and measure: as many rows as there are lengths, not texts
-    w = Window.partitionBy("source", "measure").orderBy(F.col("length").desc())
-    near = Window.partitionBy("source", "measure").orderBy("length").rangeBetween(-around, around)
+    w = Window.partitionBy("source", "kind", "measure").orderBy(F.col("length").desc())
+    near = Window.partitionBy("source", "kind", "measure").orderBy("length").rangeBetween(-around, around)
     hazards = by.withColumn("at_risk", F.sum("n").over(w)).withColumn("near_stops", F.sum("stops").over(near) - F.col("stops")).withColumn(
         "near_risk", F.sum("at_risk").over(near) - F.col("at_risk")
     )
@@ -111,21 +117,18 @@ def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int =
     rest = F.when(h < 1, (1 - h) * F.log((1 - h) / (1 - h0))).otherwise(0.0)
     bound = F.when(h > h0, F.col("at_risk") * (h * F.log(h / h0) + rest) / F.log(F.lit(10.0))).otherwise(0.0)
     tests = hazards.where(F.col("stops") > 0).select(
-        "source", "measure", "length", "stops", "at_risk", h.alias("hazard"), F.least(bound, F.lit(300.0)).alias("score"), (h >= ratio * h0).alias("steep")
+        "source", "kind", "measure", "length", "stops", "at_risk", h.alias("hazard"), F.least(bound, F.lit(300.0)).alias("score"), (h >= ratio * h0).alias("steep")
     )
     grid = tests.groupBy(F.floor(F.col("score") * 10).alias("step")).agg(F.count("*").alias("n"))
     every = Window.orderBy(F.col("step").desc())  # at most 3001 steps
     ranked = grid.withColumn("rank", F.sum("n").over(every)).withColumn("m", F.sum("n").over(Window.partitionBy()))
     least_step = ranked.where(F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("m") <= alpha * F.col("rank")).agg(F.min("step").alias("from"))
-    tested = (
+    return (
         tests.crossJoin(F.broadcast(least_step))  # one row
         .where((F.floor(F.col("score") * 10) >= F.col("from")) & (F.col("stops") >= least) & F.col("steep"))
+        .where((F.col("kind") == "text") | (F.col("stops") >= heads) & (F.col("hazard") >= 0.5))
         .select("source", "measure", "length", "stops", "at_risk", "hazard", F.pow(F.lit(10.0), -F.col("score")).alias("p"))
     )
-    short = ended.where("ending = 'headline'").groupBy("source", F.col("chars").alias("length")).agg(F.count("*").alias("stops"))
-    every = short.groupBy("source").agg(F.sum("stops").alias("at_risk"))
-    heads = short.join(every, "source").where("stops >= 20 and stops >= 0.5 * at_risk")
-    return tested.unionByName(heads.select("source", F.lit("chars").alias("measure"), "length", "stops", "at_risk", (F.col("stops") / F.col("at_risk")).alias("hazard"), F.lit(0.0).alias("p")))
 
 
 def cuts(ended: DataFrame, at: DataFrame) -> DataFrame:

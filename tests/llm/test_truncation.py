@@ -57,5 +57,19 @@ def test_lengths_of_headlines_cluster_without_being_limits(spark):
     assert T.truncated(spark.createDataFrame(rows, POOL)).where("cut").count() == 0
 
 
+def test_a_limit_that_few_headlines_reach(spark):
+    """Headlines of all lengths, those above 60 bytes cut there: less than half of them, and of unlike numbers of characters."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(900):
+        n = rng.randint(20, 56) if i % 3 else 60
+        text = "Words " + "x" * (n - 6)
+        if n == 60:
+            text = "Words " + "ü" * (i % 6) + "x" * (54 - 2 * (i % 6))
+        rows.append((i, "s", text, None, None, None))
+    got = {r.row_no: r.cut for r in T.truncated(spark.createDataFrame(rows, POOL)).collect()}
+    assert all(got[i] == (i % 3 == 0) for i in range(900))
+
+
 def test_empty(spark):
     assert T.truncated(spark.createDataFrame([], POOL)).count() == 0
