@@ -1,12 +1,15 @@
 """Template residue and error-page text.
 
-A field is a case if it holds an unfilled placeholder, or if one of its sentences (or the whole field) says nothing but
-a notice: a closed vocabulary of web notices covers it and it names what is wrong. Evidence of the corpus lowers the bar:
-a short masked text that appears under many unlike address slugs, on several hosts, is a response of a server and not a
-story. The slug is compared with the title, so that a story about such things keeps its place.
-
-Null, blank and non-text fields are no case. Rows are judged alone but for the masked-text counts, which one partial
-aggregation gathers for all rows.
+A response of a server stands under many addresses that have nothing to do with it. Every title and summary is masked (hosts,
+numbers and codes become one sign) and all rows with the same masked field are compared: if at least `min_slugs` different
+slugs on at least `min_hosts` hosts lead to it, the words of nearly all of these slugs are missing in the field, and the slugs
+are unlike one another, the field is a response and not a story (by 'corpus'). Copies of a story share the words of their
+slugs, and a story about such things has them in its title. Unfilled placeholders are found by detectors of their marks
+('placeholder'). What the corpus does not repeat is judged by its own words ('words'): a closed vocabulary of web notices covers the
+field or one of its sentences, and it names what is wrong.
+
+Null, blank and non-text fields are no case. An address of less than three words (as /p/x7) tells nothing: its row is no
+evidence, but is a case if its field is a response. Whole fields are masked and counted, of all rows, without a bound.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -141,9 +145,7 @@ HOST = re.compile(r"\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b", re.I)
 TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 #: Ids of requests, codes and numbers.
 HEX = re.compile(r"[a-f]{4,8}|\w*\d\w*")
-#: No notice is longer, in characters.
-LONG = 400
-MASK = re.compile(r"[0-9a-f]*\d[0-9a-f]*|\b[\w-]+(?:\.[\w-]+)+\b", re.I)
+MASK = re.compile(r"[\w-]+(?:\.[\w-]+)+|\w*\d\w*")
 SUFFIX = re.compile(r"^(?:(?:update|updated|video|exclusive|fwd|fw|re|rfc|new post|\[[\w .]{1,12}\])\s*:?\s+)?(.*?)(?:\s+[|–—-]\s+[^|–—]{2,40})?(?:\s*\[\w{2}\])?\s*$", re.I | re.S)
 AFFIX = re.compile(r"[:\[]|\s[|–—-]\s|^re ", re.I)
 ADDRESS = re.compile(r"^\s*https?://([^/?#\s]+)([^?#]*)", re.I)
@@ -178,16 +180,17 @@ def placeholder(raw: str) -> bool:
     return False
 
 
-def clean(raw: str) -> str:
-    """Text as a reader sees it: entities once, comments and tags away (what stands in noscript stays), white space collapsed."""
+def clean(raw: str, lines: bool = False) -> str:
+    """Text as a reader sees it: entities once, comments and tags away (what stands in noscript stays), white space collapsed;
+    with lines, line ends stay."""
     if "&" in raw:
         raw = html.unescape(raw)
     if "<" in raw:
         raw = TAG.sub(" ", raw)
-    return " ".join(raw.split())
+    return "\n".join(" ".join(x.split()) for x in raw.splitlines()) if lines else " ".join(raw.split())
 
 
-def notice(text: str, bar: float, low: str | None = None, words: list[str] | None = None) -> bool:
+def notice(text: str, bar: float, low: str | None = None, words: list[str] | None = None, raw: str | None = None) -> bool:
     """The whole text or one sentence of it is a notice: nearly all of its words are of LEX, one says what is wrong."""
     if WHOLE.match(text):
         return True
@@ -198,11 +201,12 @@ def notice(text: str, bar: float, low: str | None = None, words: list[str] | Non
         return True
     if WRONG.isdisjoint(words):
         return False
-    if len(low) <= LONG and _covered(low, bar):
+    # a text of which most words are unknown is no notice, whatever its hosts and codes
+    if 2 * sum(map(_known, words)) >= len(words) and _covered(low, bar):
         return True
     if PLAIN.isdisjoint(words):
         return False
-    parts = SENTENCE.split(low)
+    parts = SENTENCE.split(low if raw is None or "\n" not in raw else clean(raw, lines=True).lower().replace("’", "'"))
     return len(parts) > 1 and any(len(p) > 12 and p.rstrip()[-1:] in ".!?…" and _told(p) for p in parts)
 
 
@@ -222,8 +226,6 @@ def _known(w: str) -> bool:
 
 
 def _covered(low: str, bar: float) -> bool:
-    if len(low) > LONG:
-        return False
     words = [w for w in WORD.findall(HOST.sub(" ", low)) if not HEX.fullmatch(w)]
     if not words or WRONG.isdisjoint(words):
         return False
@@ -240,72 +242,113 @@ SHORT = re.compile(
 )
 
 
-def judge(title: str | None, summary: str | None, bar: float = 0.85) -> int:
-    """2: a case by its own text. 1: some field holds a part of a notice, which counts with evidence of the corpus. 0: none."""
-    least = 0
-    for field in (title, summary):
-        if not isinstance(field, str) or not field.strip():
-            continue
-        if placeholder(field):
-            return 2
-        text = clean(field)
-        low = text.lower()
-        if "’" in low:
-            low = low.replace("’", "'")
-        words = WORD.findall(low)
-        if notice(text, bar, low, words):
-            return 2
-        if len(text) < 200:
-            if AFFIX.search(text):
-                core = SUFFIX.match(text).group(1)
-                if 0 < len(core) < len(text) and notice(core, bar):
-                    return 2
-            if not WRONG.isdisjoint(words) and _covered(low, 0.6):
-                least = 1
-    return least
+class Field:
+    """A title or summary as it is judged and masked."""
+
+    def __init__(self, raw: str, title: bool = False) -> None:
+        self.raw, self.text = raw, clean(raw)
+        self.low = self.text.lower()
+        if "’" in self.low:
+            self.low = self.low.replace("’", "'")
+        self.words = WORD.findall(self.low)
+        # what publishers put around a title
+        self.core = SUFFIX.match(self.text).group(1) or self.text if (title or not WRONG.isdisjoint(self.words)) and AFFIX.search(self.text) else self.text
+
+    def own(self, bar: float = 0.85) -> str | None:
+        """'placeholder' or 'words' where the field is a case by itself."""
+        if placeholder(self.raw):
+            return "placeholder"
+        if notice(self.text, bar, self.low, self.words, self.raw) or self.core != self.text and notice(self.core, bar):
+            return "words"
+        return None
+
+    def mask(self) -> str:
+        low = self.low if self.core == self.text else self.core.lower()
+        return " ".join(MASK.sub("#", low).split())
+
+    def shares(self, slug: tuple[str, ...]) -> int:
+        """How many words of the slug stand in the field; slugs drop accents, with or without their letters."""
+        words = set(self.words)
+        if not self.low.isascii():
+            words.update(WORD.findall(_plain(self.low)), WORD.findall(self.low.encode("ascii", "ignore").decode()))
+        if any("'" in w for w in self.words):
+            words.update(p for w in self.words if "'" in w for p in w.split("'"))
+        return sum(w in words for w in set(slug))
+
+
+def fields(title: str | None, summary: str | None) -> list[Field]:
+    return [Field(x, i == 0) for i, x in enumerate((title, summary)) if isinstance(x, str) and x.strip()]
+
+
+def judge(title: str | None, summary: str | None, bar: float = 0.85) -> str | None:
+    """'placeholder', 'words' or None: what a row is by its own text."""
+    return max((x for f in fields(title, summary) if (x := f.own(bar))), default=None, key=lambda x: x == "placeholder")
 
 
 def _plain(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
 
 
+SLUG = re.compile(r"[^\W\d_]{3,}")
+
+
+def slug_of(url: str | None) -> tuple[str | None, tuple[str, ...]]:
+    """The host and the words of the part of the path that has most; less than three words are none."""
+    where = ADDRESS.match(url) if isinstance(url, str) else None
+    if not where:
+        return None, ()
+    words = max((SLUG.findall(p.removesuffix(".html").lower()) for p in where.group(2).split("/")), key=len, default=[])
+    return where.group(1).lower(), tuple(words) if len(words) >= 3 else ()
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
         for row_no, title, summary, url in zip(b["row_no"], b["title"], b["summary"], b["url"]):
-            found = judge(title, summary)
-            if not found:
-                continue
-            if found == 2:
-                rows.append((row_no, True, False, None, "", []))
-                continue
-            where = ADDRESS.match(url) if isinstance(url, str) else None
-            last = [p for p in where.group(2).split("/") if p][-1:] if where else []
-            slug = tuple(w for p in last for w in WORD.findall(p.lower()) if len(w) > 2 and not any(c.isdigit() for c in w))
-            # slugs drop accents, with or without their letters
-            titled = WORD.findall(f"{_plain(title)} {title.lower().encode('ascii', 'ignore').decode()}") if isinstance(title, str) else []
-            # an address without words, as /p/x7, tells nothing
-            unlike = len(slug) >= 3 and bool(titled) and len(set(slug) & set(titled)) <= 1
-            masks = [MASK.sub("#", clean(f).lower()) for f in (title, summary) if isinstance(f, str) and 0 < len(f.strip()) <= 200]
-            rows.append((row_no, False, unlike, where.group(1).lower() if where else None, " ".join(slug[:4]), masks))
-        yield pd.DataFrame(rows, columns=["row_no", "own", "unlike", "host", "slug", "masks"])
+            host, slug = slug_of(url)
+            have = fields(title, summary)
+            own = max((x for f in have if (x := f.own())), default=None, key=lambda x: x == "placeholder")
+            seen = [(_hash(f.mask()), min(f.shares(slug), 3)) for f in have]
+            rows.append((row_no, own, host, " ".join(slug) or None, [m for m, _ in seen], [n for _, n in seen]))
+        yield pd.DataFrame(rows, columns=["row_no", "own", "host", "slug", "masks", "shared"])
+
+
+def responses(parts: DataFrame, min_slugs: int, min_hosts: int, unlike: float = 0.75, alike: float = 0.5) -> DataFrame:
+    """The masks (m) that are responses: parts holds m, slug, host and shared (words of the slug in the field) of every field whose
+    address has words.
+
+    Counts are exact and partially aggregated by (mask, slug), so that no task holds the rows of a frequent mask."""
+    by_slug = parts.groupBy("m", "slug").agg(F.min("shared").alias("shared"))
+    # a first, cheap bound: one slug is enough to leave out what only one address leads to
+    some = by_slug.groupBy("m").agg(F.count("*").alias("slugs"), F.avg((F.col("shared") <= 1).cast("int")).alias("unlike"))
+    some = some.where((F.col("slugs") >= min_slugs) & (F.col("unlike") >= unlike)).select("m", "slugs")
+    # merge joins: how many masks are left grows with the input, so that they are never broadcast
+    hosts = parts.join(some.hint("merge"), "m").select("m", "host").distinct().groupBy("m").agg(F.count("*").alias("hosts")).where(F.col("hosts") >= min_hosts)
+    words = by_slug.join(some.hint("merge"), "m").select("m", "slugs", F.explode(F.array_distinct(F.split("slug", " "))).alias("w"))
+    each = words.groupBy("m", "slugs", "w").agg(F.count("*").alias("n"))
+    most = F.sum(F.when(F.col("n") > F.greatest(F.lit(1.0), F.col("slugs") / 2), F.col("n")).otherwise(0))
+    varied = each.groupBy("m").agg((most / F.sum("n")).alias("alike")).where(F.col("alike") <= alike)
+    return hosts.join(varied.hint("merge"), "m").select("m")
 
 
 def residue(pool: DataFrame, min_slugs: int = 3, min_hosts: int = 2) -> DataFrame:
-    """Rows of pool (row_no, title, summary, url) that hold residue: row_no, by ('text' or 'corpus').
+    """Rows of pool (row_no, title, summary, url) that hold residue: row_no, by ('corpus', 'placeholder' or 'words', the first
+    that holds).
 
-    'text': the row's own words decide. 'corpus': a shorter share of notice words, with the same masked text under at
-    least min_slugs unlike slugs on min_hosts hosts, and a slug that the title does not match. An empty pool gives an
-    empty result; other columns are ignored; repeated rows count once."""
+    An empty pool gives an empty result; other columns are ignored; repeated rows count once."""
     judged = spread(pool.select("row_no", "title", "summary", "url")).mapInPandas(
-        _signals, "row_no bigint, own boolean, unlike boolean, host string, slug string, masks array<string>"
+        _signals, "row_no bigint, own string, host string, slug string, masks array<bigint>, shared array<int>"
     )
-    # written once: three plans read it; only rows with at least a part of a notice are left
-    signals = written(judged.withColumn("masks", F.transform("masks", lambda m: F.xxhash64(m))).withColumn("slug", F.xxhash64("slug")))
-    own = signals.where("own").select("row_no", F.lit("text").alias("by"))
-    parts = signals.where("not own").select("row_no", "unlike", "slug", "host", F.explode("masks").alias("m"))
-    # how many slugs and hosts give the same text; a text that is part of a notice is so in every row
-    seen = parts.groupBy("m").agg(F.approx_count_distinct("slug", 0.1).alias("slugs"), F.approx_count_distinct("host", 0.1).alias("hosts"), F.count("*").alias("n"))
-    often = seen.where((F.col("n") >= min_slugs) & (F.col("slugs") >= min_slugs) & (F.col("hosts") >= min_hosts)).select("m")
-    corpus = parts.where("unlike").join(often, "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
-    return own.unionByName(corpus).groupBy("row_no").agg(F.max("by").alias("by"))
+    # written once: the counts and the rows read it
+    signals = written(judged)
+    field = F.explode(F.arrays_zip("masks", "shared")).alias("x")
+    each = signals.select("row_no", "host", "slug", field).select("row_no", "host", "slug", F.col("x.masks").alias("m"), F.col("x.shared").alias("shared"))
+    found = responses(each.where("slug is not null"), min_slugs, min_hosts)
+    # a row whose own slug the field matches is a story
+    corpus = each.where("shared < 3").join(found.hint("merge"), "m", "left_semi").select("row_no", F.lit("corpus").alias("by"))
+    own = signals.where("own is not null").select("row_no", F.col("own").alias("by"))
+    return own.unionByName(corpus).groupBy("row_no").agg(F.min("by").alias("by"))

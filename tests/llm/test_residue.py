@@ -19,17 +19,17 @@ POOL = "row_no bigint, title string, summary string, url string, host string, ma
 
 @pytest.mark.parametrize("text", CASES)
 def test_cases(text):
-    assert R.judge(text, None) == 2 and R.judge("A fine headline about gardens", text) == 2
+    assert R.judge(text, None) and R.judge("A fine headline about gardens", text)
 
 
 @pytest.mark.parametrize("text", STORIES)
 def test_stories_are_none(text):
-    assert R.judge(text, text) != 2
+    assert R.judge(text, text) is None
 
 
 def test_long_text_and_sentence_within():
-    assert R.judge("t", "A story of many words. " * 5000) == 0
-    assert R.judge("t", "A story of many words. " * 50 + "You need to enable JavaScript in your browser to view this page. " + "More words follow. " * 50) == 2
+    assert R.judge("t", "A story of many words. " * 5000) is None
+    assert R.judge("t", "A story of many words. " * 50 + "You need to enable JavaScript in your browser to view this page. " + "More words follow. " * 50)
 
 
 def test_table_with_clashing_columns_nulls_repeats_and_hot_text(spark):
@@ -40,11 +40,30 @@ def test_table_with_clashing_columns_nulls_repeats_and_hot_text(spark):
     assert R.residue(df.limit(0)).count() == 0
 
 
-def test_corpus_evidence_needs_unlike_slugs_and_hosts(spark):
-    text = "Server maintenance under way at the harbour office"
-    assert R.judge(text, None) == 1
-    slugs = ["why-gardens-bloom-late", "river-boats-under-sail", "old-mills-find-work"]
-    many = spark.createDataFrame([(i, text, None, f"https://h{i}.example/{s}", None, None, None) for i, s in enumerate(slugs)], POOL)
-    assert {r.by for r in R.residue(many).collect()} == {"corpus"}
-    one = many.withColumn("url", F.lit("https://h.example/why-gardens-bloom-late"))
-    assert R.residue(one).count() == 0
+SLUGS = ["why-gardens-bloom-late", "river-boats-under-sail", "old-mills-find-work"]
+#: Responses none of whose words are in the closed vocabulary.
+HELD_OUT = ["Sivua pystytty löytämään", "Strona chwilowo niedostępna", "Ups! Zelle kaputt", "Geen toegang tot deze bladzijde " * 40]
+
+
+@pytest.mark.parametrize("text", HELD_OUT)
+def test_responses_are_known_by_the_corpus(spark, text):
+    assert R.judge(text, None) is None and R.LEX.isdisjoint(R.WORD.findall(text.lower()))
+    for place in ("title", "summary"):
+        rows = [(i, text if place == "title" else s.replace("-", " "), text if place == "summary" else None, f"https://h{i}.example/{s}") for i, s in enumerate(SLUGS)]
+        rows.append((9, text if place == "title" else "Some Story", text if place == "summary" else None, "https://h.example/p/x7"))
+        many = spark.createDataFrame(rows, "row_no bigint, title string, summary string, url string")
+        assert {(r.row_no, r.by) for r in R.residue(many).collect()} == {(i, "corpus") for i in (0, 1, 2, 9)}
+        assert R.residue(many.withColumn("url", F.lit("https://h.example/why-gardens-bloom-late"))).count() == 0
+
+
+def test_numbers_and_hosts_are_masked(spark):
+    rows = [(i, f"Tunnus {i}x{i} vanhentui: h{i}.example", None, f"https://h{i}.example/{s}") for i, s in enumerate(SLUGS)]
+    assert R.residue(spark.createDataFrame(rows, "row_no bigint, title string, summary string, url string")).count() == 3
+
+
+def test_copies_of_stories_are_none(spark):
+    title = "Why gardens bloom late this year"
+    copies = [(i, title, "Rain fell often.", f"https://h{i}.example/why-gardens-bloom-late-{w}") for i, w in enumerate(["again", "indeed", "today", "here"])]
+    # a story under slugs of its own words, whatever its summary says, and one under addresses without words
+    copies += [(10 + i, title, "Rain fell often.", f"https://h{i}.example/p/{i}") for i in range(4)]
+    assert R.residue(spark.createDataFrame(copies, "row_no bigint, title string, summary string, url string")).count() == 0
