@@ -1,19 +1,21 @@
 """Text cut off by field limits.
 
-Every summary's ending is classed: whole, open (no end of a sentence), marked (an ellipsis or a link to go on stands where
-the text breaks off), broken (inside a character, entity, tag or link), or headline (one short phrase without any
-punctuation, as publishers write them). Field limits show as lengths at which far more texts stop than at the lengths
-around them: for each source and for all, in characters, bytes and visible characters, the hazard of an unfinished stop at
-length L is tested against the hazard of the neighbouring lengths, and the false discovery rate over all tests is held.
-At a significant length an unfinished ending is a cut, headlines included; at other lengths, where a transfer broke off,
-it is one unless it may be a headline.
+Every summary's ending is classed: whole, open (no end of a sentence, though the text has sentences that end), mark (an ellipsis
+or a link to go on stands where the text breaks off), broken (inside a character, entity, tag or link), number (a full stop
+that may be the middle of a version) or headline (one phrase without any punctuation, as publishers write them).
+
+Field limits show as lengths at which far more texts stop than at the lengths around them: for each source and for all, in
+characters, bytes and visible characters, the hazard of an unfinished stop at length L is tested against the hazard of the
+neighbouring lengths, and the false discovery rate over all tests is held. An unfinished ending is a cut by evidence only:
+'limit' (its length is significant), 'mark' or 'broken' (the cut shows), 'transfer' (a text that ends its other sentences does
+not end its last one), or 'long' (a phrase without punctuation longer
+than such phrases are: the tail of their lengths, under the same false-discovery control).
 
 Null and blank summaries are no case and count for no share.
 """
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterator
 
@@ -38,20 +40,26 @@ OPEN_TAG = re.compile(r"<(?:[A-Za-z/!][^<>]*)?$")
 OPEN_ENTITY = re.compile(r"&(?:#[xX]?[0-9a-fA-F]*|[a-z]{1,7})?$")
 OPEN_VERSION = re.compile(r"\b(?:release|version|versión)\s+\d+\.$", re.I)
 INNER = re.compile(r"[.!?…][\"'”’»)\]]*\s")
-HEADLINE = 100
 
 
 def unmarked(text: str) -> str:
-    """text without the mark at its end; a mark is at most 80 characters."""
-    return text[:-80] + MARK.sub("", text[-80:])
+    """text without the marks at its end; the part that is searched grows while marks fill it."""
+    size = 80
+    while True:
+        m = MARK.search(text[-size:])
+        if not m:
+            return text
+        if m.start() > 0 or size >= len(text):
+            return text[-size:][: m.start()] if size >= len(text) else text[:-size] + text[-size:][: m.start()]
+        size *= 2
 
 
 def ending(raw: str) -> str:
-    """'whole', 'open', 'mark', 'broken', 'headline' or 'number' (a full stop that may be the middle of a version)."""
+    """'whole', 'open', 'mark', 'broken', 'headline' or 'number'."""
     body = raw.rstrip()
     bare = unmarked(body)
     for s in (body, bare):
-        if s.endswith("�") or s and 0xD800 <= ord(s[-1]) <= 0xDFFF or OPEN_TAG.search(s[-2000:]) or OPEN_ENTITY.search(s[-12:]):
+        if s.endswith("�") or s and 0xD800 <= ord(s[-1]) <= 0xDFFF or "<" in s and OPEN_TAG.match(s[s.rindex("<"):]) or OPEN_ENTITY.search(s[-12:]):
             return "broken"
     if "<" in body and len(re.findall(r"<a\s", body, re.I)) > len(re.findall(r"</a\s*>", body, re.I)):
         return "broken"
@@ -65,7 +73,7 @@ def ending(raw: str) -> str:
         return "number" if OPEN_VERSION.search(text[-30:]) else "whole"
     if TAIL.search(text[-40:]):
         return "whole"
-    if len(text) <= HEADLINE and not INNER.search(text) and text[-1].isalnum():
+    if text[-1].isalnum() and not INNER.search(text):
         return "headline"
     return "open"
 
@@ -87,6 +95,28 @@ def endings(pool: DataFrame) -> DataFrame:
     return spread(named).mapInPandas(_lengths, "row_no bigint, source string, ending string, chars int, bytes int, shown int")
 
 
+def discovered(tests: DataFrame, alpha: float) -> DataFrame:
+    """The tests (score: -log10 p, 300 at most) that Benjamini-Hochberg at alpha keeps, by counts of rounded scores."""
+    grid = tests.groupBy(F.floor(F.col("score") * 10).alias("step")).agg(F.count("*").alias("n"))
+    every = Window.orderBy(F.col("step").desc())  # at most 3001 steps
+    ranked = grid.withColumn("rank", F.sum("n").over(every)).withColumn("m", F.sum("n").over(Window.partitionBy()))
+    least_step = ranked.where(F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("m") <= alpha * F.col("rank")).agg(F.min("step").alias("from"))
+    # one row
+    return tests.crossJoin(F.broadcast(least_step)).where(F.floor(F.col("score") * 10) >= F.col("from")).drop("from")
+
+
+def overlong(ended: DataFrame, alpha: float = 0.01) -> DataFrame:
+    """row_no of the headlines longer than headlines are: -log10 of the normal tail (Mills' bound) beyond their median length, in
+    robust deviations, under the false-discovery control over all headlines."""
+    heads = ended.where("ending = 'headline'").select("row_no", "shown")
+    q = F.percentile_approx("shown", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000)
+    fit = heads.agg(q.alias("q")).select(F.col("q")[1].alias("middle"), ((F.col("q")[2] - F.col("q")[0] + 1) / 1.349).alias("spread"))
+    z = (F.col("shown") - F.col("middle")) / F.col("spread")
+    # one row
+    tests = heads.crossJoin(F.broadcast(fit)).select("row_no", F.when(z > 1, (z * z / 2 + F.log(z * 2.5066)) / F.log(F.lit(10.0))).otherwise(0.0).alias("score"))
+    return discovered(tests.withColumn("score", F.least("score", F.lit(300.0))), alpha).where("score > 0").select("row_no")
+
+
 def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int = 5, ratio: float = 3.0, heads: int = 20) -> DataFrame:
     """Lengths at which a source (or '*', all sources) cuts: source, measure, length, stops, at_risk, hazard, p.
 
@@ -119,41 +149,37 @@ def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int =
     tests = hazards.where(F.col("stops") > 0).select(
         "source", "kind", "measure", "length", "stops", "at_risk", h.alias("hazard"), F.least(bound, F.lit(300.0)).alias("score"), (h >= ratio * h0).alias("steep")
     )
-    grid = tests.groupBy(F.floor(F.col("score") * 10).alias("step")).agg(F.count("*").alias("n"))
-    every = Window.orderBy(F.col("step").desc())  # at most 3001 steps
-    ranked = grid.withColumn("rank", F.sum("n").over(every)).withColumn("m", F.sum("n").over(Window.partitionBy()))
-    least_step = ranked.where(F.pow(F.lit(10.0), -F.col("step") / 10) * F.col("m") <= alpha * F.col("rank")).agg(F.min("step").alias("from"))
     return (
-        tests.crossJoin(F.broadcast(least_step))  # one row
-        .where((F.floor(F.col("score") * 10) >= F.col("from")) & (F.col("stops") >= least) & F.col("steep"))
+        discovered(tests, alpha)
+        .where((F.col("stops") >= least) & F.col("steep"))
         .where((F.col("kind") == "text") | (F.col("stops") >= heads) & (F.col("hazard") >= 0.5))
         .select("source", "measure", "length", "stops", "at_risk", "hazard", F.pow(F.lit(10.0), -F.col("score")).alias("p"))
     )
 
 
-def cuts(ended: DataFrame, at: DataFrame) -> DataFrame:
-    """ended with at_limit (its length is one at which its source or all sources cut) and cut."""
+def cuts(ended: DataFrame, at: DataFrame, alpha: float = 0.01) -> DataFrame:
+    """ended with at_limit (its length is one at which its source or all sources cut), evidence and cut."""
     marks = at.select("source", "measure", "length").distinct()
-    own = ended.select("row_no", F.explode(F.array("source", F.lit("*"))).alias("source"),
-                       F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in ("chars", "bytes", "shown")])).alias("m"),
-                       "ending").where(F.col("ending").isin("headline", "number", "open")).select("row_no", "source", "m.measure", "m.length")
+    lengths = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in ("chars", "bytes", "shown")])).alias("m")
+    own = ended.where("ending != 'whole'").select("row_no", F.explode(F.array("source", F.lit("*"))).alias("source"), lengths.alias("m")).select("row_no", "source", "m.measure", "m.length")
     hit = own.join(marks, ["source", "measure", "length"], "left_semi").select("row_no").distinct().withColumn("at_limit", F.lit(True))
-    e = F.col("ending")
-    limit = F.coalesce("at_limit", F.lit(False))
-    return ended.join(hit, "row_no", "left").select(
-        "row_no", "source", "ending", "chars", limit.alias("at_limit"),
-        (e.isin("mark", "broken", "open") | (e.isin("headline", "number") & limit)).alias("cut"),
+    far = overlong(ended, alpha).distinct().withColumn("far", F.lit(True))
+    e, limit = F.col("ending"), F.coalesce("at_limit", F.lit(False))
+    evidence = (
+        F.when(e.isin("mark", "broken"), e).when((e != "whole") & limit, "limit").when(e == "open", "transfer").when((e == "headline") & F.col("far"), "long")
     )
+    known = ended.join(hit, "row_no", "left").join(far, "row_no", "left")
+    return known.select("row_no", "source", "ending", "chars", limit.alias("at_limit"), evidence.alias("evidence"), evidence.isNotNull().alias("cut"))
 
 
 def truncated(pool: DataFrame, alpha: float = 0.01) -> DataFrame:
-    """row_no, source, ending, chars, at_limit, cut of every pool row with a summary."""
+    """row_no, source, ending, chars, at_limit, evidence, cut of every pool row with a summary."""
     ended = written(endings(pool))
-    return cuts(ended, limits(ended, alpha))
+    return cuts(ended, limits(ended, alpha), alpha)
 
 
 def source_shares(found: DataFrame) -> DataFrame:
-    """How often each source truncates: source, texts, cut, at_limit, share."""
+    """How often each source truncates: source, texts, cut, at_limit (cuts at its limits), share."""
     return found.groupBy("source").agg(
         F.count("*").alias("texts"), F.sum(F.col("cut").cast("int")).alias("cut"), F.sum((F.col("cut") & F.col("at_limit")).cast("int")).alias("at_limit")
     ).withColumn("share", F.round(F.col("cut") / F.col("texts"), 6))

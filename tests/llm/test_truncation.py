@@ -71,5 +71,26 @@ def test_a_limit_that_few_headlines_reach(spark):
     assert all(got[i] == (i % 3 == 0) for i in range(900))
 
 
+def test_a_phrase_longer_than_headlines_is_a_broken_transfer(spark):
+    rng = random.Random(13)
+    rows = [(i, "s", "Words " + "x" * int(rng.gauss(60, 6)), None, None, None) for i in range(2000)] + [(5000, "s", "Words " + "x" * 150, None, None, None)]
+    rows += [(6000, "s", "One ends. The next does n", None, None, None)]
+    got = {r.row_no: r.evidence for r in T.truncated(spark.createDataFrame(rows, POOL)).where("cut").collect()}
+    assert got == {5000: "long", 6000: "transfer"}
+
+
+def test_evidence_of_limits_decides(spark):
+    """Without the limits the same texts are no cuts."""
+    rows = [(i, "s", "Words " + "x" * 54 if i < 300 else "Words " + "x" * (i % 50) + ".", None, None, None) for i in range(900)]
+    ended = T.endings(spark.createDataFrame(rows, POOL)).cache()
+    at = T.limits(ended)
+    assert T.cuts(ended, at).where("cut").count() == 300 and T.cuts(ended, at.where("false")).where("cut").count() == 0
+
+
+def test_marks_and_tags_of_any_length():
+    assert T.unmarked("It goes" + " …" * 500) == "It goes" and T.unmarked("…" * 300) == "" and T.unmarked("plain") == "plain"
+    assert T.ending("One. Two <a title='" + "x" * 9000) == "broken"
+
+
 def test_empty(spark):
     assert T.truncated(spark.createDataFrame([], POOL)).count() == 0
