@@ -145,7 +145,7 @@ HOST = re.compile(r"\b[\w-]+(?:\.[\w-]+)*\.[a-z]{2,}\b", re.I)
 TAG = re.compile(r"</?[A-Za-z][^<>]*>")
 #: Ids of requests, codes and numbers.
 HEX = re.compile(r"[a-f]{4,8}|\w*\d\w*")
-MASK = re.compile(r"[\w-]+(?:\.[\w-]+)+|\w*\d\w*")
+DOTTED = re.compile(r"[a-z]\.[a-z]")
 SUFFIX = re.compile(r"^(?:(?:update|updated|video|exclusive|fwd|fw|re|rfc|new post|\[[\w .]{1,12}\])\s*:?\s+)?(.*?)(?:\s+[|–—-]\s+[^|–—]{2,40})?(?:\s*\[\w{2}\])?\s*$", re.I | re.S)
 AFFIX = re.compile(r"[:\[]|\s[|–—-]\s|^re ", re.I)
 ADDRESS = re.compile(r"^\s*https?://([^/?#\s]+)([^?#]*)", re.I)
@@ -262,18 +262,26 @@ class Field:
             return "words"
         return None
 
-    def mask(self) -> str:
-        low = self.low if self.core == self.text else self.core.lower()
-        return " ".join(MASK.sub("#", low).split())
+    def mask(self) -> int | None:
+        """A hash of the field's words without hosts and what holds digits; None where none are left."""
+        words = self.words if self.core == self.text else WORD.findall(self.core.lower())
+        if DOTTED.search(self.low):
+            words = WORD.findall(HOST.sub(" ", self.core.lower()))
+        held = " ".join([w for w in words if w.isalpha()])
+        return int.from_bytes(blake2b(held.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) if held else None
 
     def shares(self, slug: tuple[str, ...]) -> int:
-        """How many words of the slug stand in the field; slugs drop accents, with or without their letters."""
-        words = set(self.words)
-        if not self.low.isascii():
-            words.update(WORD.findall(_plain(self.low)), WORD.findall(self.low.encode("ascii", "ignore").decode()))
-        if any("'" in w for w in self.words):
-            words.update(p for w in self.words if "'" in w for p in w.split("'"))
-        return sum(w in words for w in set(slug))
+        """How many words of the slug stand in the field, 3 for more; slugs drop accents, with or without their letters."""
+        low, n = self.low, 0
+        if not low.isascii():
+            low = f"{low} {_plain(low)} {low.encode('ascii', 'ignore').decode()}"
+        for w in set(slug):
+            # a word of the field: most are not even a part of it
+            if w in low and (w in self.words or re.search(rf"(?<![^\W_]){w}(?![^\W_])", low)):
+                n += 1
+                if n == 3:
+                    break
+        return n
 
 
 def fields(title: str | None, summary: str | None) -> list[Field]:
@@ -286,7 +294,7 @@ def judge(title: str | None, summary: str | None, bar: float = 0.85) -> str | No
 
 
 def _plain(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text.lower()) if not unicodedata.combining(c))
+    return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
 
 
 SLUG = re.compile(r"[^\W\d_]{3,}")
@@ -301,10 +309,6 @@ def slug_of(url: str | None) -> tuple[str | None, tuple[str, ...]]:
     return where.group(1).lower(), tuple(words) if len(words) >= 3 else ()
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
-
-
 def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
@@ -312,7 +316,7 @@ def _signals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             host, slug = slug_of(url)
             have = fields(title, summary)
             own = max((x for f in have if (x := f.own())), default=None, key=lambda x: x == "placeholder")
-            seen = [(_hash(f.mask()), min(f.shares(slug), 3)) for f in have]
+            seen = [(m, f.shares(slug)) for f in have if (m := f.mask()) is not None]
             rows.append((row_no, own, host, " ".join(slug) or None, [m for m, _ in seen], [n for _, n in seen]))
         yield pd.DataFrame(rows, columns=["row_no", "own", "host", "slug", "masks", "shared"])
 

@@ -42,6 +42,9 @@ OPEN_VERSION = re.compile(r"\b(?:release|version|versión)\s+\d+\.$", re.I)
 INNER = re.compile(r"[.!?…][\"'”’»)\]]*\s")
 
 
+MEASURES = ("chars", "bytes", "shown")
+
+
 def unmarked(text: str) -> str:
     """text without the marks at its end; the part that is searched grows while marks fill it."""
     size = 80
@@ -126,17 +129,15 @@ def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int =
     the neighbours: among many texts any unevenness of lengths is significant. Headlines are stops of a second kind in the same
     tests, per measure and against the same neighbours: their lengths cluster by themselves, so a length at which they stop
     must besides hold back half of the texts that reach it, and `heads` of them, as a field limit does."""
-    unfinished = F.col("ending").isin("open", "mark", "broken", "number")
-    kinds = F.array(F.struct(F.lit("text").alias("kind"), unfinished.cast("int").alias("stop")), F.struct(F.lit("head").alias("kind"), (F.col("ending") == "headline").cast("int").alias("stop")))
-    long = ended.select(
-        "source", F.explode(kinds).alias("k"), "chars", "bytes", "shown",
-    ).select(
-        F.explode(F.array("source", F.lit("*"))).alias("source"), "k.kind", "k.stop", "chars", "bytes", "shown",
-    ).select(
-        "source", "kind", "stop",
-        F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in ("chars", "bytes", "shown")])).alias("m"),
-    )
-    by = long.groupBy("source", "kind", "m.measure", "m.length").agg(F.sum("stop").alias("stops"), F.count("*").alias("n"))
+    unfinished = F.col("ending").isin("open", "mark", "broken", "number").cast("int")
+    measured = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in MEASURES])).alias("m")
+    each = ended.select("source", unfinished.alias("text"), (F.col("ending") == "headline").cast("int").alias("head"), measured)
+    own = each.groupBy("source", "m.measure", "m.length").agg(F.sum("text").alias("text"), F.sum("head").alias("head"), F.count("*").alias("n"))
+    # all sources together, out of the counts of each
+    both = own.select(F.explode(F.array("source", F.lit("*"))).alias("source"), "measure", "length", "text", "head", "n")
+    summed = both.groupBy("source", "measure", "length").agg(F.sum("text").alias("text"), F.sum("head").alias("head"), F.sum("n").alias("n"))
+    kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("stops")) for k in ("text", "head")])).alias("k")
+    by = summed.select("source", "measure", "length", "n", kinds).select("source", "k.kind", "measure", "length", "k.stops", "n")
     # one window holds the lengths of one source and measure: as many rows as there are lengths, not texts
     w = Window.partitionBy("source", "kind", "measure").orderBy(F.col("length").desc())
     near = Window.partitionBy("source", "kind", "measure").orderBy("length").rangeBetween(-around, around)
@@ -159,16 +160,18 @@ def limits(ended: DataFrame, alpha: float = 0.01, around: int = 12, least: int =
 
 def cuts(ended: DataFrame, at: DataFrame, alpha: float = 0.01) -> DataFrame:
     """ended with at_limit (its length is one at which its source or all sources cut), evidence and cut."""
-    marks = at.select("source", "measure", "length").distinct()
-    lengths = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in ("chars", "bytes", "shown")])).alias("m")
-    own = ended.where("ending != 'whole'").select("row_no", F.explode(F.array("source", F.lit("*"))).alias("source"), lengths.alias("m")).select("row_no", "source", "m.measure", "m.length")
-    hit = own.join(marks, ["source", "measure", "length"], "left_semi").select("row_no").distinct().withColumn("at_limit", F.lit(True))
+    # one row a source; the lengths of all sources are one row
+    lengths = lambda m: F.collect_set(F.when(F.col("measure") == m, F.col("length"))).alias(f"at_{m}")
+    marks = at.groupBy("source").agg(*map(lengths, MEASURES))
+    everywhere = at.where("source = '*'").agg(*[x.alias(f"all_{m}") for m, x in zip(MEASURES, map(lengths, MEASURES))])
     far = overlong(ended, alpha).distinct().withColumn("far", F.lit(True))
-    e, limit = F.col("ending"), F.coalesce("at_limit", F.lit(False))
+    known = ended.crossJoin(F.broadcast(everywhere)).join(marks, "source", "left").join(far, "row_no", "left")
+    inside = [F.array_contains(f"{w}_{m}", F.col(m)) for w in ("at", "all") for m in MEASURES]
+    e = F.col("ending")
+    limit = (e != "whole") & F.coalesce(F.greatest(*[F.coalesce(x, F.lit(False)) for x in inside]), F.lit(False))
     evidence = (
-        F.when(e.isin("mark", "broken"), e).when((e != "whole") & limit, "limit").when(e == "open", "transfer").when((e == "headline") & F.col("far"), "long")
+        F.when(e.isin("mark", "broken"), e).when(limit, "limit").when(e == "open", "transfer").when((e == "headline") & F.col("far"), "long")
     )
-    known = ended.join(hit, "row_no", "left").join(far, "row_no", "left")
     return known.select("row_no", "source", "ending", "chars", limit.alias("at_limit"), evidence.alias("evidence"), evidence.isNotNull().alias("cut"))
 
 
