@@ -48,6 +48,18 @@ def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(known, "day", "left").select("day", "n", F.coalesce("known", F.lit(0)).alias("known"))
 
 
+def p3_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last batch taken against the persisted cells of all earlier ones: its rows known, and how much of the cells it read."""
+    pool, ledger = _read(spark, sf_dir, "pool"), _read(spark, sf_dir, "ledger")
+    day = day_of(F.col("first_seen"))
+    last = pool.agg(F.max(day)).head()[0]
+    history = seen.new_history(pool)
+    history.take(pool.where(day.isNull() | (day < F.lit(last))), ledger)
+    known = history.take(pool.where(day == F.lit(last)))
+    figures = [F.lit(int(n)).cast("bigint").alias(k) for k, n in sorted(history.figures.items())]
+    return known.groupBy().agg(F.count("*").alias("known")).select(F.lit(last).alias("day"), "known", *figures)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.similar_rows(_read(spark, sf_dir, "pool"), leave_out=p1_found(spark, sf_dir)).select("row_a", "row_b")
 
@@ -108,7 +120,7 @@ def p8_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded, p7_packed, p7_containers, p8_pieces, p8_rejoined)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p3_probe, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded, p7_packed, p7_containers, p8_pieces, p8_rejoined)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,28 +1,30 @@
 """Deduplicating new batches against all history.
 
 A row's page is known by its id (letter case aside) and by its address; the relation is transitive. Addresses are brought
-to one spelling, turned into vectors of their words and kept, with the spelling in full, in persisted cells
-(gleaner.llm.cells). Equal addresses have equal vectors and so lie in one cell: the bounds leave out every other cell, and
-within the cell the spelling is compared exactly. A new batch is assigned, probed and appended without reading the
-other cells; ids and the links between ids and addresses are kept beside the cells.
+to one spelling, turned into vectors of their words and kept in persisted cells (gleaner.llm.cells). A batch's addresses probe
+the cells: by the bounds only the own cell (and those nearly as near) can hold an equal vector, and of it only the ring at
+the same distance from the centroid; what lies there is compared exactly, on the vector and on the page. What is not held is
+appended. Ids, and the labels of what is linked, are kept beside the cells and looked up for the batch's own ids and pages.
 
 Defined results: a row without a readable first_seen is never a case but links others; a row with neither id nor http(s)
-address is none; repeated rows are cases from the second on; an empty pool or ledger gives what is left."""
+address is none; repeated rows are cases from the second on; an empty pool or ledger gives what is left. A row of an earlier
+batch that only a later batch links to an earlier page is found where both are taken together."""
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
 from gleaner.llm import cells
-from gleaner.session import free_shuffles, spread, written
+from gleaner.session import shared_dir, spread, written
 
 #: Parameters that follow a reader or a share, carry a session or ask for another rendering (fixed values).
 PASSING = frozenset(
@@ -84,6 +86,8 @@ def _decoded(text: str) -> str:
 
 WORDS = re.compile(r"[A-Za-z0-9]+")
 
+PLACED = "origin string, row_no bigint, day int, id string, key string, vec binary, at array<struct<cell:int,ring:int,far:double,own:boolean>>"
+
 
 def _placed(centers: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,42 +95,92 @@ def _placed(centers: np.ndarray):
         for b in batches:
             page = [page_address(u) for u in b["url"]]
             have = [i for i, p in enumerate(page) if p is not None]
-            vec = [None] * len(page)
-            cell = np.full(len(page), -1, np.int32)
-            far = np.zeros(len(page), np.float32)
+            vec: list[bytes | None] = [None] * len(page)
+            at: list[list[dict]] = [[] for _ in page]
             if have:
                 v = np.stack([cells.token_vector(WORDS.findall(page[i]), cache) for i in have])
-                c, d = cells.nearest(v, centers)
-                cell[have], far[have] = c, d
                 for i, x in zip(have, v):
-                    vec[i] = x
-            yield pd.DataFrame({"origin": b["origin"], "row_no": b["row_no"], "day": b["day"], "id": b["id"], "page": page, "cell": cell, "to_center": far, "vec": vec})
+                    vec[i] = x.tobytes()
+                for r, c, g, far, own in zip(*(x.tolist() for x in cells.visits(v, centers))):
+                    at[have[r]].append({"cell": c, "ring": g, "far": far, "own": own})
+            yield pd.DataFrame({"origin": b["origin"], "row_no": b["row_no"], "day": b["day"], "id": b["id"], "key": page, "vec": vec, "at": at})
 
     return run
 
 
-SCHEMA = "origin string, row_no bigint, day date, id string, page string, cell int, to_center float, vec array<float>"
-
-
 def _rows(pool: DataFrame, ledger: DataFrame | None) -> DataFrame:
     ident = F.nullif(F.lower(F.trim("id")), F.lit(""))
-    rows = pool.select(F.lit("pool").alias("origin"), F.col("row_no").cast("bigint").alias("row_no"), day_of(F.col("first_seen")).alias("day"), ident.alias("id"), "url")
+    number = lambda day: F.unix_date(day).alias("day")
+    rows = pool.select(F.lit("pool").alias("origin"), F.col("row_no").cast("bigint").alias("row_no"), number(day_of(F.col("first_seen"))), ident.alias("id"), "url")
     if ledger is not None:
         day = day_of(F.coalesce(F.nullif(F.trim("published"), F.lit("")), F.col("date")))
-        rows = rows.unionByName(ledger.select(F.lit("ledger").alias("origin"), F.lit(None).cast("bigint").alias("row_no"), day.alias("day"), ident.alias("id"), "url"))
+        rows = rows.unionByName(ledger.select(F.lit("ledger").alias("origin"), F.lit(None).cast("bigint").alias("row_no"), number(day), ident.alias("id"), "url"))
     return rows
 
 
 def fit_centers(pool: DataFrame, count: int = 256, sample: int = 8192) -> np.ndarray:
     """Centroids of the address vectors of about `sample` rows, at most twice as many."""
     cache: dict[str, np.ndarray] = {}
-    pages = {p for r in cells.sampled(_rows(pool, None).where("url is not null").select("url"), sample) if (p := page_address(r[0]))}
+    pages = {p for r in cells.sampled(pool.where("url is not null").select("url"), sample) if (p := page_address(r[0]))}
     return cells.centroids(np.array([cells.token_vector(WORDS.findall(p), cache) for p in sorted(pages)], np.float32), count)
 
 
 def placed(pool: DataFrame, ledger: DataFrame | None, centers: np.ndarray) -> DataFrame:
-    """All rows with their page, cell and vector."""
-    return spread(_rows(pool, ledger)).mapInPandas(_placed(centers), SCHEMA)
+    """All rows: a (hash of the id), b (hash of the page, or of the id where there is no page), vec and the rings of cells that a
+    probe for the page visits. Rows with neither are left out."""
+    rows = spread(_rows(pool, ledger)).mapInPandas(_placed(centers), PLACED)
+    ident = F.when(F.col("id").isNotNull(), F.unhex(F.md5(F.concat(F.lit("i"), "id"))))
+    page = F.when(F.col("key").isNotNull(), F.unhex(F.md5(F.concat(F.lit("u"), "key"))))
+    return rows.select("origin", "row_no", "day", ident.alias("a"), F.coalesce(page, ident).alias("b"), "vec", "at").where("b is not null")
+
+
+ENTRY = "cell int, ring int, far double, b binary, vec binary, first_day int, first_row bigint, listed int, n bigint, held boolean, own boolean"
+COLUMNS = [x.split()[0] for x in ENTRY.split(", ")]
+NEVER = np.iinfo(np.int64).max
+
+
+def _probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Entries of cells, sorted by cell, ring, distance to the centroid, page and batch, joined to one entry a page: each
+    entry is compared with what the cell holds at its distance, on the vectors and then on the page itself, and appended
+    where nothing of it is held. What one Arrow batch leaves open goes on with the next."""
+    rest = None
+    for b in batches:
+        b = pd.concat([rest, b], ignore_index=True) if rest is not None else b
+        if not len(b):
+            continue
+        cell, ring, far, key = b["cell"].to_numpy(), b["ring"].to_numpy(), b["far"].to_numpy(np.float64), b["b"].to_numpy()
+        v = np.frombuffer(b"".join(b["vec"]), np.float32).reshape(len(b), -1)
+        near = (cell[1:] == cell[:-1]) & (ring[1:] == ring[:-1]) & (far[1:] - far[:-1] <= cells.SLACK)
+        near[near] = (np.abs(v[1:][near] - v[:-1][near]) <= cells.SLACK).all(1)
+        near[near] = key[1:][near] == key[:-1][near]
+        start = np.flatnonzero(np.concatenate([[True], ~near]))
+        run = np.cumsum(np.concatenate([[0], ~near]))
+        day, row = b["first_day"].fillna(NEVER // 2).to_numpy(np.int64), b["first_row"].fillna(NEVER).to_numpy(np.int64)
+        first = np.minimum.reduceat(day, start)
+        row = np.minimum.reduceat(np.where(day == first[run], row, NEVER), start)
+        listed = np.minimum.reduceat(b["listed"].fillna(NEVER // 2).to_numpy(np.int64), start)
+        opened = pd.DataFrame({c: b[c].to_numpy()[start] for c in ("cell", "ring", "far", "b", "vec")})
+        none = first >= NEVER // 2
+        opened["first_day"] = pd.array(np.where(none, 0, first), "Int64").astype("Int32")
+        opened.loc[none, "first_day"] = pd.NA
+        opened["first_row"] = pd.array(np.where(none, 0, row), "Int64")
+        opened.loc[none, "first_row"] = pd.NA
+        none = listed >= NEVER // 2
+        opened["listed"] = pd.array(np.where(none, 0, listed), "Int64").astype("Int32")
+        opened.loc[none, "listed"] = pd.NA
+        opened["n"] = np.add.reduceat(b["n"].to_numpy(np.int64), start)
+        for flag in ("held", "own"):
+            opened[flag] = np.logical_or.reduceat(b[flag].to_numpy(bool), start)
+        rest = opened.iloc[-1:]
+        yield opened.iloc[:-1]
+    if rest is not None:
+        yield rest
+
+
+def probed(entries: DataFrame, n: int) -> DataFrame:
+    """entries joined to one a page, cell by cell; tasks hold whole rings of cells, about 200,000 entries each."""
+    parts = max(entries.sparkSession.sparkContext.defaultParallelism, n // 200_000 + 1)
+    return entries.repartition(parts, "cell", "ring").sortWithinPartitions("cell", "ring", "far", "b", "first_day", "first_row").mapInPandas(_probed, ENTRY)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -150,63 +204,117 @@ def components(edges: DataFrame) -> DataFrame:
             labels = written(labels.join(own, "label").select("b", F.least("label", "far").alias("label")))
 
 
-def seen_before(pool: DataFrame, ledger: DataFrame, centers: np.ndarray | None = None) -> DataFrame:
-    """row_no and day of the pool rows whose page an earlier pool row or the ledger had."""
-    if centers is None:
-        centers = fit_centers(pool)
-    table = written(placed(pool, ledger, centers))
-    free_shuffles(pool.sparkSession)
-    return _decided(table)
+class History:
+    """Persisted state in the folder `path`, to which batches are appended and in which they are looked up:
 
+    cells   an entry of a page: cell, ring, distance to the centroid, vector in full, the page's hash, its first pool row and ledger day
+    labels  (node, label) of the ids and pages of a batch that no batch before had; a label stands for all that is linked
+    firsts  (label, first pool row, ledger day) as each batch added to them
+    merges  (old, label): labels that a later batch linked
 
-def _decided(table: DataFrame) -> DataFrame:
-    """row_no and day of the pool rows of table (as placed gives it) whose page an earlier row of table had."""
-    ident = F.when(F.col("id").isNotNull(), F.unhex(F.md5(F.concat(F.lit("i"), "id"))))
-    # the exact comparison within a cell; the cell is part of the key
-    page = F.when(F.col("page").isNotNull(), F.unhex(F.md5(F.concat_ws(" ", F.lit("u"), "cell", "page"))))
-    rows = table.select("origin", "row_no", "day", ident.alias("a"), page.alias("b")).where("a is not null or b is not null")
-    labels = components(rows.where("a is not null and b is not null").select("a", "b"))
-    by_id = rows.where("a is not null and b is not null").select("a", "b").join(labels, "b").groupBy("a").agg(F.min("label").alias("by_id"))
-    # rows with an address take its label, or the address itself; rows with an id alone the label of the id, or the id
-    with_page = rows.where("b is not null").join(labels, "b", "left").select("origin", "row_no", "day", F.coalesce("label", "b").alias("page"))
-    id_only = rows.where("b is null").join(by_id, "a", "left").select("origin", "row_no", "day", F.coalesce("by_id", "a").alias("page"))
-    named = with_page.unionByName(id_only)
-    when = F.when((F.col("origin") == "pool") & F.col("day").isNotNull(), F.struct("day", "row_no"))
-    first = named.groupBy("page").agg(F.count("*").alias("n"), F.min(when).alias("first"), F.min(F.when(F.col("origin") == "ledger", F.col("day"))).alias("listed")).where("n > 1")
-    return (
-        named.where("origin = 'pool' and day is not null").join(first, "page")
-        .where((F.col("first") < F.struct("day", "row_no")) | (F.col("listed") < F.col("day")))
-        .select("row_no", "day").distinct()
-    )
+    A batch reads the rings of cells that its addresses visit, the labels of its own ids and pages and what is kept under these,
+    and the merges; all tables are only appended to. A batch of many days takes its days in order within every cell, so a
+    table of all batches may be taken at once."""
 
-
-class History:
-    """Persisted state at `path`: cells of addresses and the ids, to which batches are appended."""
+    TABLES = {"cells": ENTRY, "labels": "node binary, label binary", "firsts": "label binary, first_day int, first_row bigint, listed int", "merges": "a binary, b binary"}
 
     def __init__(self, path: str, centers: np.ndarray) -> None:
         self.path, self.centers = path, centers
-
-    def ingest(self, pool: DataFrame, ledger: DataFrame | None = None) -> None:
-        """Appends rows without asking whether they are known."""
-        cells.append(placed(pool, ledger, self.centers), f"{self.path}/cells")
-
-    def known(self, batch: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-        """row_no of the batch's rows whose page the history, the ledger or an earlier row of the batch had, as seen_before
-        over both.
-
-        Reads of the history the rows that share a page or an id with the batch, then those that share one with these,
-        until none is added; pages are looked up in their cells."""
+        #: Of the last batch: entries read and kept, rings visited and held.
+        self.figures: dict[str, int] = {}
+
+    def _filled(self, spark: SparkSession) -> bool:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/merges")
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+    def held(self, spark: SparkSession, table: str) -> DataFrame:
+        return spark.read.schema(self.TABLES[table]).parquet(f"{self.path}/{table}")
+
+    def _append(self, table: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self.path}/{table}")
+
+    def take(self, pool: DataFrame, ledger: DataFrame | None = None, append: bool = True) -> DataFrame:
+        """row_no and day of the pool rows whose page the history, the ledger or an earlier row of the batch had; then appends the
+        batch."""
+        spark = pool.sparkSession
+        filled = self._filled(spark)
+        batch = written(placed(pool, ledger, self.centers))
+        mine = F.when((F.col("origin") == "pool") & F.col("day").isNotNull(), F.col("row_no"))
+        facts = [F.min(F.when(mine.isNotNull(), F.col("day"))).alias("first_day"), F.min(mine).alias("first_row"), F.min(F.when(F.col("origin") == "ledger", F.col("day"))).alias("listed"), F.count("*").alias("n")]
+        # one entry of a page a day and ring: rows of one page do not meet in a task
+        at = batch.where("vec is not null").select("*", F.inline("at"))
+        entries = at.groupBy("cell", "ring", "far", "b", "vec", "day", "own").agg(*facts).withColumn("held", F.lit(False)).select(COLUMNS)
+        n = batch.count()
+        if filled:
+            units = F.broadcast(entries.select("cell", "ring").distinct())  # at most the rings of all cells, whatever the batch
+            old = self.held(spark, "cells").join(units, ["cell", "ring"], "left_semi").withColumn("n", F.lit(0).cast("bigint")).withColumn("held", F.lit(True))
+            rings = lambda df: df.select("cell", "ring").distinct().count()
+            read, kept = old.count(), self.held(spark, "cells")
+            self.figures = {"entries_read": read, "entries_kept": kept.count(), "rings_visited": rings(old), "rings_kept": rings(kept)}
+            entries, n = entries.unionByName(old), n + read
+        pages = written(probed(entries, n))
+        # rows without an address are told by their ids alone
+        # nulls sort first in a struct: days without a pool row are left out of the least
+        bare = batch.where("vec is null").groupBy("b").agg(F.min(F.when(mine.isNotNull(), F.struct("day", "row_no"))).alias("f"), F.min(F.when(F.col("origin") == "ledger", F.col("day"))).alias("listed"), F.count("*").alias("n"))
+        nodes = pages.where("n > 0").select("b", "first_day", "first_row", "listed", "n").unionByName(bare.select("b", F.col("f.day").alias("first_day"), F.col("f.row_no").alias("first_row"), "listed", "n"))
+        edges = batch.where("a is not null").select("a", "b").distinct()
+        if filled:
+            known = self._known(batch)
+            # an id or page of the batch and the label it had are linked, and so are labels that were merged
+            pair = F.unhex(F.md5(F.concat("node", "label")))
+            links = known.select(pair.alias("a"), F.explode(F.array("node", "label")).alias("b"))
+            merged = self.held(spark, "merges").select(F.unhex(F.md5(F.concat("a", "b"))).alias("pair"), "a", "b")
+            by_id = edges.select("a").distinct().join(known, F.col("a") == F.col("node")).select("a", F.col("label").alias("b"))
+            edges = edges.unionByName(links).unionByName(by_id).unionByName(merged.select(F.col("pair").alias("a"), F.explode(F.array("a", "b")).alias("b")))
+        labels = components(edges)
+        named = written(nodes.join(labels, "b", "left").withColumn("label", F.coalesce("label", "b")))
+        parts = named.select("label", "first_day", "first_row", "listed", "n")
+        if filled:
+            firsts = self.held(spark, "firsts").withColumnRenamed("label", "b").join(labels, "b").select("label", "first_day", "first_row", "listed", F.lit(1).cast("bigint").alias("n"))
+            parts = parts.unionByName(firsts)
+        when = F.when(F.col("first_day").isNotNull(), F.struct("first_day", "first_row"))
+        whole = parts.groupBy("label").agg(F.min(when).alias("first"), F.min("listed").alias("listed"), F.sum("n").alias("n"))
+        # what occurs once is known from nowhere
+        told = named.select("b", "label").distinct().join(whole.where("n > 1"), "label").select("b", "first", "listed")
+        rows = batch.where("origin = 'pool' and day is not null").select("row_no", "day", "b")
+        is_known = (F.col("first") < F.struct(F.col("day").alias("first_day"), F.col("row_no").alias("first_row"))) | (F.col("listed") < F.col("day"))
+        found = rows.join(told, "b").where(is_known).select("row_no", F.date_from_unix_date("day").alias("day")).distinct()
+        if append:
+            found = written(found)
+            self._keep(filled, pages, batch, named, labels)
+        return found
+
+    def _known(self, batch: DataFrame) -> DataFrame:
+        """(node, label) of the batch's ids and pages that the history has."""
+        nodes = batch.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
+        return written(self.held(batch.sparkSession, "labels").join(nodes, "node", "left_semi"))
+
+    def _keep(self, filled: bool, pages: DataFrame, batch: DataFrame, named: DataFrame, labels: DataFrame) -> None:
         spark = batch.sparkSession
-        new = written(placed(batch, ledger, self.centers).drop("vec", "to_center"))
-        held = spark.read.schema(new.schema).parquet(f"{self.path}/cells")
-        keys, reached = new, -1
-        while True:
-            by_page = held.join(keys.where("page is not null").select("cell", "page").distinct(), ["cell", "page"], "left_semi")
-            by_id = held.join(keys.where("id is not null").select("id").distinct(), "id", "left_semi")
-            met = written(by_page.select(new.columns).unionByName(by_id.select(new.columns)).distinct())
-            n = met.count()
-            if n == reached:
-                break
-            keys, reached = new.unionByName(met), n
-        mine = new.where("origin = 'pool'").select("row_no", "day").distinct()
-        return _decided(new.unionByName(met)).join(mine, ["row_no", "day"], "left_semi").select("row_no")
+        ids = batch.where("a is not null").select("a", "b").distinct().join(named.select("b", "label").distinct(), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
+        nodes = named.select(F.col("b").alias("node"), "label").unionByName(ids.where(F.lit(True))).groupBy("node").agg(F.min("label").alias("label"))
+        fresh = pages.where("own and n > 0")
+        if filled:
+            known = self._known(batch)
+            # the label that a node had before, where the batch gives another
+            old = known.select(F.col("label").alias("b")).distinct().join(labels, "b").where("b != label")
+            self._append("merges", old.select(F.col("b").alias("a"), F.col("label").alias("b")))
+            nodes = nodes.join(known, "node", "left_anti")
+        self._append("labels", nodes.select("node", "label"))
+        self._append("firsts", named.groupBy("label").agg(
+            F.min(F.when(F.col("first_day").isNotNull(), F.struct("first_day", "first_row"))).alias("f"), F.min("listed").alias("listed")
+        ).select("label", "f.first_day", "f.first_row", "listed"))
+        # in the order of the cells, so that a probe reads few row groups
+        self._append("cells", fresh.select(COLUMNS).sortWithinPartitions("cell", "ring"))
+        if not filled:
+            self._append("merges", spark.createDataFrame([], self.TABLES["merges"]))
+
+
+def new_history(pool: DataFrame, centers: np.ndarray | None = None) -> History:
+    """An empty history in the shared folder, with centroids of the pool's addresses."""
+    return History(f"{shared_dir(pool.sparkSession)}/gleaner/{uuid.uuid4().hex}", fit_centers(pool) if centers is None else centers)
+
+
+def seen_before(pool: DataFrame, ledger: DataFrame | None, centers: np.ndarray | None = None) -> DataFrame:
+    """row_no and day of the pool rows whose page an earlier pool row or the ledger had: all batches taken into new cells."""
+    return new_history(pool, centers).take(pool, ledger)
