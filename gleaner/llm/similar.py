@@ -9,8 +9,8 @@ differences in the newly fixed bits of each level and prunes whole groups beyond
 The index is spread over the cluster by its topmost patterns, keys of one, two or three words, which lose no pair either.
 Words have one order, by frequency and hash. A set of n words shares at least t * n with every similar one, so of the
 words two sets share the first, second and third are among the first n - t * n + 1, + 2 and + 3 of either (prefixes). The
-first alone is the key if it is rare (in at most `alone` of the records); else the first two, or all three where the first
-two are so frequent that by chance more than `hot` of the records had both. Which of these holds depends on the words only,
+first alone is the key if at most `alone` of the records have it; else the first two, or all three where the first two are
+so frequent that by chance more than `hot` of the records had both. Which of these holds depends on the words only,
 so both sets have the key of the words they share first, wherever their differences lie. Sets of more than LONG words,
 and those they may be similar to, are keyed by every word of the prefix alone, which bounds the keys of a record.
 The index is built and searched in rounds of about `keys` keys a record, by the first word, and each round's shuffle is
@@ -195,102 +195,122 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return r
 
 
-def most(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
-    """The most words in which sets of a and b words with similarity t differ; rounding never tightens it."""
-    a, b = a.astype(np.int64), b.astype(np.int64)
-    return np.where((a >= FULL) | (b >= FULL), 1 << 40, ((1 - t) / (1 + t) * (a + b) + 1e-6).astype(np.int64))
+#: Entries of a leaf node.
+FAN = 16
 
 
 class GrayIndex:
-    """A hierarchical index over fingerprints (columns of 64-bit codes) with sizes.
-
-    Leaves lie in Gray order; a node above holds, of `fan` neighbours, the bits on which all of them agree (mask) and
-    their values (pattern), and the greatest number of words. A search goes down level by level with (query, node) pairs,
-    adds the differences in the bits that the node fixes and its parent did not, and drops the pairs beyond the bound."""
-
-    def __init__(self, codes: np.ndarray, size: np.ndarray, t: float, fan: int = 8) -> None:
-        self.t, self.fan = t, fan
-        self.order = np.lexsort((size, *(gray_rank(codes[:, j]) for j in reversed(range(codes.shape[1])))))
-        self.codes, self.size = codes[self.order], size[self.order]
-        full = np.full_like(self.codes, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.levels = [(self.codes, full, self.size, self.size)]
-        while len(self.levels[-1][0]) > fan:
-            p, m, big, small = self.levels[-1]
-            cut = np.arange(0, len(p), fan)
-            ones = np.bitwise_and.reduceat(p & m, cut)
-            zeros = np.bitwise_and.reduceat(~p & m, cut)
-            self.levels.append((ones, ones | zeros, np.maximum.reduceat(big, cut), np.minimum.reduceat(small, cut)))
-
-    def bound(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return most(a, b, self.t)
-
-    def pairs(self, at_once: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of positions (in the given order, each pair once) whose codes differ within the bound."""
-        block = max(16, at_once // len(self.codes))  # as many queries at once as bound the pairs held
-        for start in range(0, len(self.codes), block):
-            q = np.arange(start, min(start + block, len(self.codes)))
-            top = len(self.levels[-1][0])
-            i, node, acc, fixed = np.repeat(q, top), np.tile(np.arange(top), len(q)), None, None
-            for level in range(len(self.levels) - 1, -1, -1):
-                p, m, big, small = self.levels[level]
-                if level < len(self.levels) - 1:
-                    first = node * self.fan
-                    n = np.minimum(self.fan, len(p) - first)
-                    rep = np.repeat(np.arange(len(node)), n)
-                    child = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[rep]
-                    i, acc, fixed, node = i[rep], acc[rep], fixed[rep], child
-                # only positions after the query's own: a group wholly before it holds none
-                last = np.minimum((node + 1) * self.fan**level, len(self.codes)) - 1
-                ahead = last > i
-                i, node = i[ahead], node[ahead]
-                new = m[node] if fixed is None else m[node] & ~fixed[ahead]
-                acc = np.bitwise_count((self.codes[i] ^ p[node]) & new).sum(1, dtype=np.int64) + (0 if acc is None else acc[ahead])
-                keep = acc <= self.bound(self.size[i], big[node])
-                keep &= (big[node] >= self.t * self.size[i] - 1e-6) & (small[node] * self.t <= self.size[i] + 1e-6)
-                i, node, acc, fixed = i[keep], node[keep], acc[keep], m[node[keep]]
-            x = np.bitwise_count(self.codes[i] ^ self.codes[node]).sum(1, dtype=np.int64)
-            ok = (x <= self.bound(self.size[i], self.size[node])) & (node > i)
-            yield self.order[i[ok]], self.order[node[ok]]
-
-
-def search(entries: np.ndarray, t: float, small: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A hierarchical index over fingerprints (columns of 64-bit codes) with sizes, within topmost patterns (keys).
+
+    Within a key entries lie by size band and Gray rank. A node holds FAN neighbours of one key: the bits on which all of them
+    agree (mask), their values (pattern) and the range of sizes; nodes above hold FAN nodes. The search goes down with pairs of
+    nodes of one key: the differences in the bits that both fix are a lower bound for all pairs below, and a pair of groups
+    beyond the bound is dropped whole. Pairs of leaf nodes that are left are compared entry by entry."""
+
+    def __init__(self, keys: np.ndarray, codes: np.ndarray, size: np.ndarray, t: float) -> None:
+        self.t = t
+        band = (np.log(np.maximum(size, 1)) * (8 / np.log(2))).astype(np.int64)
+        self.order = np.lexsort((gray_rank(codes[:, 0]), band, keys))
+        keys = keys[self.order]
+        self.codes, self.size = codes[self.order], size[self.order].astype(np.int64)
+        n = len(keys)
+        # the most differing bits by the sum of the sizes
+        total = np.arange(2 * (FULL + 1))
+        self.bound = np.where(total >= FULL, 1 << 20, ((1 - t) / (1 + t) * total + 1e-6)).astype(np.int32)
+        group = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if n else np.zeros(0, np.int64)
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        first, last, ones, zeros, small, big = group, np.append(group[1:], n), self.codes, ~self.codes, self.size, self.size
+        while n:
+            # nodes of FAN neighbours, a group's first with its first entry
+            count = -(-(last - first) // FAN)
+            node = np.repeat(first, count) + FAN * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+            end = np.minimum(node + FAN, np.repeat(last, count))
+            cut = lambda op, x: op.reduceat(x, node, axis=0)
+            ones, zeros, small, big = cut(np.bitwise_and, ones), cut(np.bitwise_and, zeros), cut(np.minimum, small), cut(np.maximum, big)
+            last = np.cumsum(count)
+            first = last - count
+            self.levels.append((node, end, ones, ones | zeros, small, big))
+            if (count == 1).all():
+                break
+        self.tops = len(first)
+
+    def _apart(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of nodes hold no pair within the bound."""
+        _, _, pattern, mask, small, big = self.levels[level]
+        least = np.zeros(len(i), np.int64)
+        for c in range(pattern.shape[1]):
+            least += np.bitwise_count((pattern[i, c] ^ pattern[j, c]) & mask[i, c] & mask[j, c])
+        far = least > self.bound[np.minimum(big[i] + big[j], len(self.bound) - 1)]
+        # sizes stored as FULL count as unlimited
+        return far | (self.t * small[i] > big[j] + 1e-6) & (small[i] < FULL) & (big[j] < FULL) | (self.t * small[j] > big[i] + 1e-6) & (small[j] < FULL) & (big[i] < FULL)
+
+    def _below(self, level: int, i: np.ndarray, j: np.ndarray, at_once: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of leaf nodes below pairs of nodes, i <= j."""
+        keep = ~self._apart(level, i, j)
+        i, j = i[keep], j[keep]
+        if level == 0:
+            yield i, j
+            return
+        start, end = self.levels[level][:2]
+        step = max(1, at_once // FAN**2)
+        for k in range(0, len(i), step):
+            p, q = i[k : k + step], j[k : k + step]
+            x, y = start[p][:, None] + np.arange(FAN), start[q][:, None] + np.arange(FAN)
+            ok = (x < end[p][:, None])[:, :, None] & (y < end[q][:, None])[:, None, :]
+            x, y = np.broadcast_to(x[:, :, None], ok.shape), np.broadcast_to(y[:, None, :], ok.shape)
+            ok &= x <= y
+            yield from self._below(level - 1, x[ok], y[ok], at_once)
+
+    def pairs(self, at_once: int = 1_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of places (in the given order, each pair once) of one key whose codes differ within the bound."""
+        if not self.levels:
+            return
+        top = np.arange(self.tops)
+        start, end, big = self.levels[0][0], self.levels[0][1], self.levels[0][5]
+        high, low, size = self.codes[:, 0], self.codes[:, 1].astype(np.uint32), self.size.astype(np.int32)
+        leaf = np.arange(FAN)
+        for nodes_i, nodes_j in self._below(len(self.levels) - 1, top, top):
+            # a node of one entry has no pair in itself
+            some = (nodes_i != nodes_j) | (end[nodes_i] - start[nodes_i] > 1)
+            nodes_i, nodes_j = nodes_i[some], nodes_j[some]
+            for k in range(0, len(nodes_i), at_once):
+                p, q = nodes_i[k : k + at_once], nodes_j[k : k + at_once]
+                wide = int(max((end[p] - start[p]).max(), (end[q] - start[q]).max()))
+                x, y = start[p][:, None] + leaf[:wide], start[q][:, None] + leaf[:wide]
+                in_x, in_y = x < end[p][:, None], y < end[q][:, None]
+                x, y = np.minimum(x, len(size) - 1), np.minimum(y, len(size) - 1)
+                off = np.bitwise_count(high[x][:, :, None] ^ high[y][:, None, :])
+                off += np.bitwise_count(low[x][:, :, None] ^ low[y][:, None, :])
+                # the nodes' own bound first, that of the pair for what is left
+                most = np.minimum(self.bound[np.minimum(big[p] + big[q], len(self.bound) - 1)], 255).astype(np.uint8)
+                at = np.flatnonzero(off <= most[:, None, None])
+                r, c = np.divmod(at, wide * wide)
+                u, v = np.divmod(c, wide)
+                ok = in_x[r, u] & in_y[r, v]
+                r, u, v = r[ok], u[ok], v[ok]
+                a, b = x[r, u], y[r, v]
+                once = (a < b) & (off[r, u, v] <= self.bound[size[a] + size[b]])
+                yield self.order[a[once]], self.order[b[once]]
+
+
+def search(entries: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Candidate pairs of sids among the entries of one partition; the key is the topmost pattern and must agree."""
     k = entries["k"].astype(np.uint64) | entries["k2"].astype(np.uint64) << np.uint64(32)
-    sid, size = entries["sid"], entries["size"].astype(np.int64)
-    codes = np.stack([entries["high"], entries["low"].astype(np.uint64)], 1)
     # keys of one entry have nothing to find
-    order = np.argsort(k, kind="stable")
+    order = np.argsort(k)
     k = k[order]
     same = k[1:] == k[:-1]
     more = np.zeros(len(k), bool)
     more[1:] |= same
     more[:-1] |= same
     order, k = order[more], k[more]
-    sid, size, codes = sid[order], size[order], codes[order]
-    order = np.lexsort((sid, codes[:, 1], gray_rank(codes[:, 0]), k))
-    k, sid, codes, size = k[order], sid[order], codes[order], size[order]
-    if not len(k):
-        return
-    keep = np.ones(len(k), bool)
-    keep[1:] = (k[1:] != k[:-1]) | (sid[1:] != sid[:-1])  # copies out of other batches
-    k, sid, codes, size = k[keep], sid[keep], codes[keep], size[keep]
-    start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    count = np.diff(np.append(start, len(k)))
-    # groups of few entries: all their pairs at once, by distance in the order
-    end = np.repeat(start + count, count)
-    live = np.flatnonzero(np.repeat((count > 1) & (count <= small), count))
-    for off in range(1, small):
-        live = live[live + off < end[live]]
-        if not len(live):
-            break
-        i, j = live, live + off
-        ok = np.bitwise_count(codes[i] ^ codes[j]).sum(1, dtype=np.int64) <= most(size[i], size[j], t)
-        ok &= np.minimum(size[i], size[j]) >= t * np.maximum(size[i], size[j]) - 1e-6
-        yield sid[i[ok]], sid[j[ok]]
-    for s, c in zip(start[count > small], count[count > small]):
-        g = slice(s, s + c)
-        for i, j in GrayIndex(codes[g], size[g], t).pairs():
-            yield sid[g][i], sid[g][j]
+    entries = entries[order]
+    sid, size = entries["sid"].astype(np.int64), entries["size"].astype(np.int64)
+    codes = np.stack([entries["high"], entries["low"].astype(np.uint64)], 1)
+    for i, j in GrayIndex(k, codes, size, t).pairs():
+        # copies out of other batches
+        other = sid[i] != sid[j]
+        yield sid[i][other], sid[j][other]
 
 
 def _once(found: list[np.ndarray]) -> pd.DataFrame:
@@ -347,7 +367,7 @@ def _candidate_pairs(sets: DataFrame, t: float, keys: int, alone: float, hot: fl
     return held, written(reduce(DataFrame.unionByName, found).distinct())
 
 
-def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 32, alone: float = 0.005, hot: float = 0.0004, common: float = 0.0005) -> DataFrame:
+def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 24, alone: float = 0.02, hot: float = 0.004, common: float = 0.0005) -> DataFrame:
     """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
     held, pairs = _candidate_pairs(sets, t, keys, alone, hot, common)
     free_shuffles(sets.sparkSession)

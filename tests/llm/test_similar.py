@@ -70,20 +70,40 @@ def test_gray_rank_is_the_inverse_of_the_gray_code():
     assert (S.gray_rank(n ^ (n >> np.uint64(1))) == n).all()
 
 
-@pytest.mark.parametrize("n", [1, 7, 9, 300])
-def test_index_finds_every_pair_within_the_bound(n):
+@pytest.mark.parametrize("n,keys", [(0, 1), (1, 1), (7, 2), (40, 5), (700, 1), (700, 3)])
+def test_index_finds_every_pair_within_the_bound(n, keys):
     rng = np.random.default_rng(n)
-    base = rng.integers(0, 2**63, size=(n, 2), dtype=np.uint64)
-    base[n // 2 :] = base[: n - n // 2] ^ (np.uint64(1) << rng.integers(0, 60, size=(n - n // 2, 2), dtype=np.uint64))
-    size = rng.integers(20, 40, size=n)
-    got = {tuple(sorted(p)) for i, j in S.GrayIndex(base, size, 0.7).pairs() for p in zip(i.tolist(), j.tolist())}
-    want = set()
+    base = rng.integers(0, 2**63, size=(n, 2), dtype=np.uint64) & np.uint64(0xFFFFFFFF)
+    base[n // 2 :] = base[: n - n // 2] ^ (np.uint64(1) << rng.integers(0, 32, size=(n - n // 2, 2), dtype=np.uint64))
+    size, key = rng.integers(20, 40, size=n), rng.integers(0, keys, size=n)
+    found = [tuple(sorted(p)) for i, j in S.GrayIndex(key, base, size, 0.7).pairs(at_once=7) for p in zip(i.tolist(), j.tolist())]
+    near, want = set(), set()
     for a in range(n):
         for b in range(a + 1, n):
             d = int(np.bitwise_count(base[a] ^ base[b]).sum())
-            if d <= int(0.3 / 1.7 * (size[a] + size[b]) + 1e-6) and min(size[a], size[b]) >= 0.7 * max(size[a], size[b]):
-                want.add((a, b))
-    assert want <= got and got <= want
+            if key[a] == key[b] and d <= int(0.3 / 1.7 * (size[a] + size[b]) + 1e-6):
+                near.add((a, b))
+                if min(size[a], size[b]) >= 0.7 * max(size[a], size[b]):
+                    want.add((a, b))
+    assert len(set(found)) == len(found) and want <= set(found) <= near
+
+
+@pytest.mark.parametrize("words", [20, 48, 100, 190, 260, 1000, 3000])
+def test_recall_at_the_threshold_by_size(words):
+    """Pairs just at 0.7 whose differing words are the rarest: every pair has a common key and is within the bound."""
+    rng = np.random.default_rng(words)
+    held = np.sort(rng.integers(-(2**62), 2**62, size=4000))
+    counts = rng.integers(60, 20_000, size=4000)
+    small = int(np.ceil(0.7 * words))
+    for trial in range(60):
+        shared = rng.choice(held, size=min(small, 3500), replace=False)
+        extra = rng.integers(2**62, 2**63 - 1, size=words - small)
+        sets = [shared, np.concatenate([shared, extra])]
+        found = []
+        for s in sets:
+            with np.errstate(over="ignore"):
+                found.append(set(S.all_keys(s.view(np.uint64), S.frequencies(s, held, counts), np.array([0]), np.array([len(s)]), 0.7, 2000.0, 4e7)[1].tolist()))
+        assert found[0] & found[1]
 
 
 def test_one_sided_insertions_of_the_rarest_words(spark):
