@@ -261,7 +261,7 @@ class GrayIndex:
             ok &= x <= y
             yield from self._below(level - 1, x[ok], y[ok], at_once)
 
-    def pairs(self, at_once: int = 1_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, at_once: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of places (in the given order, each pair once) of one key whose codes differ within the bound."""
         if not self.levels:
             return
@@ -273,23 +273,28 @@ class GrayIndex:
             # a node of one entry has no pair in itself
             some = (nodes_i != nodes_j) | (end[nodes_i] - start[nodes_i] > 1)
             nodes_i, nodes_j = nodes_i[some], nodes_j[some]
-            for k in range(0, len(nodes_i), at_once):
-                p, q = nodes_i[k : k + at_once], nodes_j[k : k + at_once]
-                wide = int(max((end[p] - start[p]).max(), (end[q] - start[q]).max()))
+            # small nodes with small ones, so that little of what is compared is padding
+            most_in = np.maximum(end[nodes_i] - start[nodes_i], end[nodes_j] - start[nodes_j])
+            order = np.argsort(most_in, kind="stable")
+            nodes_i, nodes_j, most_in = nodes_i[order], nodes_j[order], most_in[order]
+            k = 0
+            while k < len(nodes_i):
+                upto = k + max(1, at_once // int(most_in[k]) ** 2)
+                upto = min(upto, int(np.searchsorted(most_in, 1.5 * most_in[k], "right")))
+                p, q, wide = nodes_i[k:upto], nodes_j[k:upto], int(most_in[min(upto, len(most_in)) - 1])
+                k = upto
                 x, y = start[p][:, None] + leaf[:wide], start[q][:, None] + leaf[:wide]
                 in_x, in_y = x < end[p][:, None], y < end[q][:, None]
                 x, y = np.minimum(x, len(size) - 1), np.minimum(y, len(size) - 1)
+                # the first code against the nodes' own bound, both against the pair's for what is left
                 off = np.bitwise_count(high[x][:, :, None] ^ high[y][:, None, :])
-                off += np.bitwise_count(low[x][:, :, None] ^ low[y][:, None, :])
-                # the nodes' own bound first, that of the pair for what is left
                 most = np.minimum(self.bound[np.minimum(big[p] + big[q], len(self.bound) - 1)], 255).astype(np.uint8)
                 at = np.flatnonzero(off <= most[:, None, None])
                 r, c = np.divmod(at, wide * wide)
                 u, v = np.divmod(c, wide)
-                ok = in_x[r, u] & in_y[r, v]
-                r, u, v = r[ok], u[ok], v[ok]
                 a, b = x[r, u], y[r, v]
-                once = (a < b) & (off[r, u, v] <= self.bound[size[a] + size[b]])
+                once = in_x[r, u] & in_y[r, v] & (a < b)
+                once &= off.ravel()[at] + np.bitwise_count(low[a] ^ low[b]) <= self.bound[size[a] + size[b]]
                 yield self.order[a[once]], self.order[b[once]]
 
 
