@@ -33,11 +33,14 @@ def contributors(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
     held = dim.limit(MAP_ROWS + 1).collect()
     if len(held) <= MAP_ROWS:
         sites = {r["site"]: r["site"] for r in held}
-        names = {k: min(r["site"] for r in held if k in (r["core"], r["key"])) for k in {x for r in held for x in (r["core"], r["key"]) if x}}
-        names |= {r["key"]: r["site"] for r in held if r["key"]}  # the plain spelling goes first
+        keys, cores = {}, {}
+        for r in held:  # a name of several sites means the least of them, as in the join below
+            for table, k in ((keys, r["key"]), (cores, r["core"])):
+                if k:
+                    table[k] = min(table.get(k, r["site"]), r["site"])
         look = lambda table, key: _map(table)[key] if table else F.lit(None).cast("string")
         by_host = F.get(F.filter(F.transform(host_suffixes(F.col("host")), lambda s: look(sites, s)), lambda s: s.isNotNull()), F.lit(0))
-        by_name = F.coalesce(look(names, F.col("spelt")), look(names, F.col("core")))
+        by_name = F.coalesce(look(keys, F.col("spelt")), look(cores, F.col("core")))
         return rows.select("row_no", F.when(F.col("host").isNotNull(), by_host).otherwise(by_name).alias("contributor"))
     suffix = rows.where("host is not null").select("row_no", F.posexplode(host_suffixes(F.col("host"))).alias("pos", "site"))
     by_host = suffix.join(dim.select("site").distinct(), "site").groupBy("row_no").agg(F.min_by("site", "pos").alias("by_host"))

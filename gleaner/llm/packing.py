@@ -2,13 +2,16 @@
 
 Items are document texts measured in tokens. A container has a vector of capacities: tokens, documents and attention cost
 (the sum of squared tokens). Items go, largest first, into the open container that has room in every dimension and the
-highest weighted dot product of the item with the residual (`rule='dot'`) or the least norm of what would be left
+best weighted dot product of the item with the residual, over the residual's norm and less the norm of what would be left
+(`rule='dot'`), or the least norm of what would be left
 (`rule='norm'`); if none has room, a new one is opened. An item above the token capacity, and only such an item, is split
-into full containers and a rest that is packed like any other.
+into full containers and a rest that is packed like any other. An item whose own cost is above the cost capacity shares its
+container with items without tokens only.
 
 Spread over the cluster: items are dealt to shards by hash, each packed alone; containers filled below `settle` are opened
-again and their items packed anew with those of other shards in further rounds of a quarter of the shards, until one shard
-holds the open rest or a round brings less than 0.1 percent. Shards are sized by tokens, so no task grows with the input.
+again and their items packed anew with those of other shards, until one shard holds the open rest. Where a round leaves more
+than 0.7 of its items open, the next asks for 0.03 less. Shards hold about `shard_items` items in every round, so no task grows
+with the input.
 
 Defined results: a null or empty text has no tokens and takes a place in the document count only; repeated doc_ids are
 items of their own (numbered); an empty table gives no containers."""
@@ -28,15 +31,15 @@ from gleaner.session import written
 
 CAPACITY = 4096
 DOCUMENTS = 64
-#: Attention cost of a container that one full text fills.
-COST = float(CAPACITY) ** 2
+#: Attention cost of a container, as a share of what one full text costs.
+COST = 0.75
 SHARD_ITEMS = 4_000
 
 
 def sizes(documents: DataFrame, vocabulary: str = E.VOCABULARY) -> DataFrame:
     """(doc_id, tokens) of documents (doc_id, text) by the distinct-word table."""
-    texts, _ = E.blocked(documents)
-    table = E.word_table(texts, vocabulary).select("block", "word", F.size("ids").alias("n"))
+    texts, blocks = E.blocked(documents)
+    table = E.word_table(texts, blocks, vocabulary).select("block", "word", F.size("ids").alias("n")).repartition(blocks, "block")
     return texts.groupBy("block").cogroup(table.groupBy("block")).applyInPandas(_counted, "doc_id bigint, tokens bigint")
 
 
@@ -48,9 +51,9 @@ def _counted(key: tuple, texts: pd.DataFrame, table: pd.DataFrame) -> pd.DataFra
 
 def best_fit(items: np.ndarray, limits: np.ndarray, weights: np.ndarray, rule: str = "dot") -> np.ndarray:
     """The container of each item: items (n x dims) and limits (dims), in any unit; first come is not first served but the
-    largest in its largest dimension. Every item fits into an empty container."""
+    largest in its largest dimension. An item above a limit counts as one that fills it."""
     n, dims = items.shape
-    part = items / limits
+    part = np.minimum(items / limits, 1.0)
     order = np.lexsort((np.arange(n), *(-part[:, d] for d in range(dims)), -part.max(1)))
     room = np.empty((max(16, n // 4 + 1), dims))
     box = np.full(n, -1, np.int64)
@@ -117,39 +120,35 @@ def pack(items: DataFrame, capacity: int = CAPACITY, documents: int = DOCUMENTS,
          rule: str = "dot", settle: float = 0.97, shard_items: int = SHARD_ITEMS) -> DataFrame:
     """(doc_id, part, copy, tokens, container) of items (doc_id, tokens): no container exceeds any capacity.
 
-    cost, the attention capacity, is at least the square of the token capacity, so that every text that fits by tokens
-    fits."""
-    cost = max(float(cost or 0), float(capacity) ** 2)
+    cost is the attention capacity, COST * capacity ** 2 unless given."""
+    cost = COST * float(capacity) ** 2 if cost is None else float(cost)
     limits, w = np.array([capacity, documents, cost], np.float64), np.array(weights)
     numbered = items.select("doc_id", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens")).groupBy("doc_id", "tokens").agg(F.count("*").alias("copies"))
-    each = numbered.select("doc_id", "tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    # in two steps, so that no row holds an array of all copies
+    many = numbered.select("doc_id", "tokens", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / 4096))).alias("thousands"))
+    in_step = F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(4096), F.col("copies") - F.col("thousands") * 4096))
+    each = many.select("doc_id", "tokens", "thousands", F.explode(in_step).alias("place")).select("doc_id", "tokens", (F.col("thousands") * 4096 + F.col("place")).alias("copy"))
     # parts of texts above the capacity: full ones, and the rest
     n_parts = F.greatest(F.ceil(F.col("tokens") / capacity), F.lit(1))
     parts = each.select("doc_id", "copy", "tokens", F.explode(F.sequence(F.lit(0), (n_parts - 1).cast("int"))).alias("part"), n_parts.alias("n_parts"))
     sized = written(parts.select("doc_id", "part", "copy", F.when(F.col("part") < F.col("n_parts") - 1, F.lit(capacity)).otherwise(F.col("tokens") - (F.col("n_parts") - 1) * capacity).cast("bigint").alias("tokens")))
-    n = sized.count()
-    shards = max(1, -(-n // shard_items))
+    left = sized.count()
+    shards = max(1, -(-left // shard_items))
     todo = sized.withColumn("shard", F.pmod(F.xxhash64("doc_id", "part", "copy"), F.lit(shards)).cast("int"))
     done, again = [], 0
     while True:
         again += 1
-        out = written(todo.repartitionById(shards, F.col("shard")).mapInPandas(_packed(limits, w, rule, settle if shards > 1 else 0.0, again), ITEM))
-        settled = out.where("settled").drop("settled", "deal")
-        done.append(settled)
-        if shards == 1:
-            break
+        out = written(todo.repartitionById(shards, F.col("shard")).mapInPandas(_packed(limits, w, rule, settle if shards > 1 else -1.0, again), ITEM))
+        done.append(out.where("settled").drop("settled", "deal"))
         rest = out.where("not settled")
-        left = rest.count()
+        before, left = left, rest.count() if shards > 1 else 0
         if not left:
             break
+        if left > 0.7 * before:
+            settle -= 0.03
         # whole containers move together, so their items meet those of other shards
-        shards = max(1, -(-left // shard_items)) if left < 0.8 * shards * shard_items else max(1, shards // 4)
+        shards = -(-left // shard_items)
         todo = rest.withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int")).select("doc_id", "part", "copy", "tokens", "shard")
-        if again >= 6 and shards > 1:
-            # what six rounds did not settle stays as the last round left it
-            last = rest.drop("settled", "deal")
-            done.append(last)
-            break
     table = done[0]
     for d in done[1:]:
         table = table.unionByName(d)
@@ -157,7 +156,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, documents: int = DOCUMENTS,
 
 
 def containers(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """container, tokens, items, cost, share of the capacity used."""
+    """container, tokens, items, cost, with_tokens, documents (that begin in it), share of the capacity used."""
     return packed.groupBy("container").agg(
-        F.sum("tokens").alias("tokens"), F.count("*").alias("items"), F.sum(F.col("tokens") * F.col("tokens")).alias("cost")
+        F.sum("tokens").alias("tokens"), F.count("*").alias("items"), F.sum(F.col("tokens") * F.col("tokens")).alias("cost"),
+        F.count(F.when(F.col("tokens") > 0, 1)).alias("with_tokens"), F.count(F.when(F.col("part") == 0, 1)).alias("documents"),
     ).withColumn("used", F.round(F.col("tokens") / capacity, 6))

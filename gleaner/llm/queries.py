@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.dates import day_of
@@ -108,6 +108,30 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.containers(p7_packed(spark, sf_dir))
 
 
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row over all containers: documents packed, containers beyond a capacity, and whether they are at most two percent more
+    than the tokens need."""
+    c = packing.containers(p7_packed(spark, sf_dir))
+    n = lambda test: F.count(F.when(test, 1))
+    cost = packing.COST * float(packing.CAPACITY) ** 2
+    return c.agg(
+        F.sum("documents").alias("documents"), n(F.col("tokens") > packing.CAPACITY).alias("over_tokens"), n(F.col("items") > packing.DOCUMENTS).alias("over_documents"),
+        n((F.col("cost") > cost) & (F.col("with_tokens") > 1)).alias("over_cost"), (F.count("*") <= F.ceil(F.sum("tokens") / packing.CAPACITY) * 1.02 + 1).alias("filled"),
+    )
+
+
+def p8_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row over all pieces: documents and characters they hold, pieces above the limit, out of order, or with a wrong overlap."""
+    after = Window.partitionBy("doc_id").orderBy("piece")  # the pieces of one text
+    p = p8_pieces(spark, sf_dir).select("doc_id", "piece", "begin", "start", "end", "tokens", F.lag("end").over(after).alias("last_end"), F.lag("start").over(after).alias("last_start"))
+    n = lambda test: F.count(F.when(test, 1))
+    return p.agg(
+        F.countDistinct("doc_id").alias("documents"), F.sum(F.col("end") - F.col("start")).alias("chars"), n(F.col("tokens") > splitting.LIMIT).alias("over_limit"),
+        n(F.coalesce("last_end", F.lit(0)) != F.col("start")).alias("gaps"), n((F.col("begin") > F.col("start")) | (F.col("begin") < F.coalesce("last_start", F.lit(0)))).alias("bad_overlap"),
+        n((F.col("piece") > 0) & (F.col("begin") == F.col("start"))).alias("without_overlap"),
+    )
+
+
 def p8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split(_read(spark, sf_dir, "documents"))
 
@@ -120,7 +144,7 @@ def p8_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p3_probe, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded, p7_packed, p7_containers, p8_pieces, p8_rejoined)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_source_shares, p3_found, p3_batches, p3_probe, p4_found, p4_groups, p4_pairs_all, p5_found, p5_kept, p6_ids, p6_decoded, p7_packed, p7_containers, p7_fill, p8_bounds, p8_pieces, p8_rejoined)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,6 +7,9 @@ code block), a line's end, a sentence's end, a clause's end, a word's end before
 nothing else; a single word above the limit is cut between its tokens' characters. Pieces in order, without their overlaps,
 give the text back exactly.
 
+The overlap begins at a word's start; inside the word before the cut where that alone has more tokens than the overlap
+allows. A piece has none only where not even a character more fits into the limit.
+
 Sizes are tokens of the public tokenizer; a worker encodes every distinct word once and adds up the words of a part.
 
 Defined results: a text within the limit is one piece without overlap; null and empty texts have none; mixed line ends
@@ -181,6 +184,13 @@ def _overlap(m: Measure, start: int, end: int, limit: int, overlap: int, least:
             break
         if e >= least and m.fits(e, start, overlap) and (n := m.exact(e, end)) <= limit:
             return e, n
+    # the word before start is too long as a whole: a part of it, the longest that fits
+    for back in (128, 96, 64, 48, 32, 24, 16, 12, 8, 6, 4, 3, 2, 1):
+        e = start - back
+        while least < e < start and 0x300 <= ord(m.text[e]) <= 0x36F:
+            e += 1
+        if least <= e < start and m.exact(e, start) <= overlap and (n := m.exact(e, end)) <= limit:
+            return e, n
     return start, m.exact(start, end)
 
 
@@ -206,4 +216,4 @@ def split(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, voca
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and below the limit")
     out = "doc_id bigint, piece int, begin int, start int, end int, tokens int, text string"
-    return spread(documents.select("doc_id", "text")).mapInPandas(_pieces(limit, overlap, vocabulary), out)
+    return spread(documents.select("doc_id", "text")).mapInPandas(_pieces(limit, overlap, E.send(documents.sparkSession, vocabulary)), out)

@@ -43,6 +43,10 @@ P6_DECODED = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
 
 P8_REJOINED = "SELECT doc_id, text FROM documents WHERE text <> ''"
 
+P7_FILL = "SELECT count(*) AS documents, 0 AS over_tokens, 0 AS over_documents, 0 AS over_cost, true AS filled FROM documents"
+
+P8_BOUNDS = "SELECT count(*) AS documents, sum(length(text))::BIGINT AS chars, 0 AS over_limit, 0 AS gaps, 0 AS bad_overlap, 0 AS without_overlap FROM documents WHERE text <> ''"
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_pairs_all": P4_PAIRS_ALL, "p5_found": P5_FOUND, "p5_kept": P5_KEPT, "p6_decoded": P6_DECODED, "p8_rejoined": P8_REJOINED}
+    return {"p4_pairs_all": P4_PAIRS_ALL, "p5_found": P5_FOUND, "p5_kept": P5_KEPT, "p6_decoded": P6_DECODED, "p7_fill": P7_FILL, "p8_bounds": P8_BOUNDS, "p8_rejoined": P8_REJOINED}

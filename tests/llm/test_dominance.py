@@ -22,6 +22,15 @@ def test_contributors(spark, monkeypatch):
     assert D.contributors(pool, dim.limit(0)).where("contributor is not null").count() == 0
 
 
+def test_a_name_of_several_sites_means_the_least(spark, monkeypatch):
+    dim = [("Twin Paper", "b.example", 1), ("twin-paper", "a.example", 1), ("Twin Paper RSS", "c.example", 1)]
+    pool = spark.createDataFrame([(1, "TWIN paper", None, None, None, 0.0, 1), (2, "The Twin Paper (feed)", None, None, None, 0.0, 1)], POOL)
+    for order in (dim, dim[::-1], dim[1:] + dim[:1]):
+        for rows in (5_000, 1):
+            monkeypatch.setattr(D, "MAP_ROWS", rows)
+            assert {r.contributor for r in D.contributors(pool, spark.createDataFrame(order, DIM)).collect()} == {"a.example"}
+
+
 def brute(rows, limit):
     by, kept = {}, set()
     for n, c, s in rows:
