@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,8 +23,19 @@ def _unescape(s: pd.Series) -> pd.Series:
 
 
 def unescape(text: Column) -> Column:
-    """One pass of HTML entities; texts without an ampersand never leave the JVM's branch of the result."""
-    return F.when(F.contains(text, F.lit("&")), _unescape(text)).otherwise(text)
+    """One pass of HTML entities; of texts without an ampersand only a null goes to Python."""
+    return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def guarded(text: Column, phrases: tuple[str, ...], pattern: str, to: str) -> Column:
+    """The pattern replaced, tried only in texts that hold one of the phrases (in lower case), without which it cannot match."""
+    holds = lambda x: reduce(Column.__or__, [F.contains(F.lower(x), F.lit(p)) for p in phrases])
+    return let(text, lambda x: F.when(holds(x), F.regexp_replace(x, pattern, to)).otherwise(x))
 
 
 def collapse(text: Column) -> Column:
@@ -43,21 +56,21 @@ def sanitise_summary(text: Column) -> Column:
     """A publisher's summary as prose: boilerplate, calls to action, bare addresses, aggregator labels and elision marks
     removed in this order, then cut to the last sentence's end. '' if nothing is left; applying it twice changes nothing."""
     s = clean_text(text)
-    for pattern, to in (
-        # patterns whose results must equal (fixed values)
-        (r"(?i)^\s*comments\s*$", ""),
-        (r"(?is)\s*\bthe post\b.*?\bappeared first on\b.*$", ""),
-        (r"(?is)\s*\b(?:read more|continue reading|read the full (?:story|article|post)|sign up for|subscribe to|the post appeared first)\b.*$", ""),
-        (r"\s*https?://\S+", " "),
-        (r"(?i)(?:article url|comments url|points|#\s*comments|comments)\s*:\s*\d*", " "),
-        (r"\s*\[(?:…|\.\.\.)\]\s*", " "),
+    for pattern, to, phrases in (
+        # patterns whose results must equal, and what each cannot match without (fixed values)
+        (r"(?i)^\s*comments\s*$", "", ()),
+        (r"(?is)\s*\bthe post\b.*?\bappeared first on\b.*$", "", ("appeared first on",)),
+        (r"(?is)\s*\b(?:read more|continue reading|read the full (?:story|article|post)|sign up for|subscribe to|the post appeared first)\b.*$", "",
+         ("read more", "continue reading", "read the full", "sign up for", "subscribe to", "the post appeared first")),
+        (r"\s*https?://\S+", " ", ("http",)),
+        (r"(?i)(?:article url|comments url|points|#\s*comments|comments)\s*:\s*\d*", " ", (":",)),
+        (r"\s*\[(?:…|\.\.\.)\]\s*", " ", ("[",)),
     ):
-        s = F.regexp_replace(s, pattern, to)
+        s = guarded(s, phrases, pattern, to) if phrases else F.regexp_replace(s, pattern, to)
     s = collapse(s)
     s = F.trim(F.regexp_replace(s, r"\s*(?:…|\.\.\.)\s*$", ""))
     s = F.regexp_replace(s, r"^[\s\-–—:;,.]+", "")
-    ended = F.trim(last_sentence(s))
-    return F.when(ended != "", ended).otherwise(s)
+    return let(s, lambda x: F.coalesce(F.nullif(F.trim(last_sentence(x)), F.lit("")), x))
 
 
 def trim_quote(text: Column, cap: int = QUOTE_CHARS, least: int = QUOTE_LEAST) -> Column:

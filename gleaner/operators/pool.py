@@ -107,7 +107,9 @@ def source_filtered(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
     text = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("summary", F.lit("")))
     rows = pool.select("row_no", F.col("source").alias("name"), day_of(F.col("first_seen")).alias("day"), text.alias("text")).where("day is not null").join(dim, "name")
     passed = rows.where(F.col("filter_regex").isNull() | F.regexp_like("text", F.concat(F.lit("(?i)"), "filter_regex"))).drop("text")
-    capped = windowed(passed.where("filter_cap is not null"), ["day", "name"], [F.asc("row_no")]).where("place <= filter_cap").drop("place")
+    # the greatest cap as a literal is a limit before the shuffle, so that no source's whole day meets in a task
+    most = source_dim.agg(F.max("filter_cap")).head()[0] or 0
+    capped = windowed(passed.where("filter_cap is not null"), ["day", "name"], [F.asc("row_no")]).where(F.col("place") <= most).where("place <= filter_cap").drop("place")
     return passed.where("filter_cap is null").unionByName(capped).select("row_no", "name")
 
 

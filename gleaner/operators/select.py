@@ -23,13 +23,20 @@ def order() -> list[Column]:
     return [F.asc("tier"), F.desc("seen"), F.desc("dated"), F.asc("key"), F.asc("row_no")]
 
 
-def ranked(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
-    """Every row with its place in its day's total order; days are the natural unit, so no task sorts the whole pool."""
-    rows = tiered(pool, source_dim).select(
+def orderable(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
+    """The rows with a readable day and what their order depends on."""
+    return tiered(pool, source_dim).select(
         "row_no", day_of(F.col("first_seen")).alias("day"), "tier", "source_cap", F.coalesce("source", F.lit("")).alias("source"), domain_of(F.col("url")).alias("domain"),
         ordinal(F.col("first_seen")).alias("seen"), ordinal(F.col("date")).alias("dated"), F.coalesce("id", F.lit("")).alias("key"),
     ).where("day is not null")
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("day").orderBy(*order())))
+
+
+def ranked(pool: DataFrame, source_dim: DataFrame) -> DataFrame:
+    """Every row with its place in its day's total order. Range partitions of day and order are sorted alone, so that a large day
+    is many tasks; a day's places start after the rows of the days before."""
+    placed = global_rank(orderable(pool, source_dim), [F.asc("day"), *order()])
+    first = placed.groupBy("day").agg(F.min("place").alias("_first"))
+    return placed.join(F.broadcast(first), "day").withColumn("place", (F.col("place") - F.col("_first") + 1).cast("int")).drop("_first")  # one row a day
 
 
 def global_rank(df: DataFrame, order_by: list[Column], name: str = "place") -> DataFrame:
@@ -46,14 +53,16 @@ def global_rank(df: DataFrame, order_by: list[Column], name: str = "place") -> D
 
 
 def diversify(rows: DataFrame, limit: int = SHORTLIST, per_source: int = PER_SOURCE, per_domain: int = PER_DOMAIN) -> DataFrame:
-    """The shortlist of each day: rows in the order of place, one skipped if its source or else its domain is at its cap; a
+    """The shortlist of each day: rows (as orderable gives them, or with a place) in their order, one skipped if its source or else its domain is at its cap; a
     skipped row uses up neither. A source may have its own cap.
 
-    The walk is a fold, but of one (source, domain) pair only the first min(caps) rows can ever be taken, so the rest is cut
-    off by a window before a day's rows meet in one task; the same holds for the first limit rows of every source."""
-    cap = F.coalesce("source_cap", F.lit(per_source))
-    w = Window.partitionBy("day", "source", "domain").orderBy("place")
-    few = rows.withColumn("cap", cap).withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= F.least("cap", F.lit(per_domain)))
+    The walk is a fold, but of one (source, domain) pair only the first min(caps) rows can ever be taken. The rest is left out
+    before a day's rows meet in one task, by a limit that is a literal and so is applied before the shuffle too; what is left
+    of a day is ranked."""
+    by = [F.asc("place")] if "place" in rows.columns else order()
+    w = Window.partitionBy("day", "source", "domain").orderBy(*by)
+    few = rows.withColumn("cap", F.coalesce("source_cap", F.lit(per_source))).withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= per_domain).where("nth <= cap")
+    few = few.withColumn("place", F.row_number().over(Window.partitionBy("day").orderBy(*by)))
 
     def walk(day: pd.DataFrame) -> pd.DataFrame:
         taken, by_source, by_domain = [], {}, {}

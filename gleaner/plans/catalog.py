@@ -31,10 +31,14 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from gleaner.plans import transitions  # noqa: F401  registers its queries
+
     return QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    from gleaner.plans import transitions  # noqa: F401
+
     return SQL
 
 
@@ -247,7 +251,7 @@ def ranked_by_day(spark: SparkSession, d: str) -> DataFrame:
     FROM walk w JOIN ranked r ON r.day = w.day AND r.place = w.place + 1 WHERE w.picks < 20) w)
 SELECT day, taken AS row_no, picks AS pick FROM walk WHERE taken IS NOT NULL""")
 def diverse_shortlist(spark: SparkSession, d: str) -> DataFrame:
-    return select.diversify(select.ranked(table(spark, d, "pool"), table(spark, d, "source_dim")))
+    return select.diversify(select.orderable(table(spark, d, "pool"), table(spark, d, "source_dim")))
 
 
 _NEAR = f"""t AS (SELECT row_no, {S.day('first_seen')} AS day, list_sort({S.TOKENS.format(c='title')}) AS tokens FROM pool),
@@ -284,7 +288,7 @@ def nearest_digests(spark: SparkSession, d: str) -> DataFrame:
     """For every theme and day of the pool the digests nearest before and after."""
     held = table(spark, d, "digest").select("theme", F.col("date").alias("day")).distinct()
     days = table(spark, d, "pool").select(day_of(F.col("first_seen")).alias("day")).where("day is not null").distinct()
-    left = held.select("theme").distinct().join(F.broadcast(days.limit(20_000)), F.lit(True))  # themes times days of the calendar
+    left = held.select("theme").distinct().join(days, F.lit(True))  # themes times days of the calendar
     return select.nearest_days(left, held)
 
 

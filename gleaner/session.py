@@ -43,11 +43,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session; a local one only where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir of the session; on one machine, where it is unset, a new local one."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
         now = sc._jsc.sc().getCheckpointDir()
+        if not now.isDefined() and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = now.get() if now.isDefined() else tempfile.mkdtemp(prefix="gleaner-")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(base)

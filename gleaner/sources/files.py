@@ -29,7 +29,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RECORD) ->
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
-    """JSON lines with sorted keys; absent fields are left out."""
+    """JSON lines with sorted keys; absent fields are left out. Appending nothing adds no file."""
+    if append and df.isEmpty():
+        return
     df.select(*sorted(df.columns)).write.mode("append" if append else "overwrite").option("ignoreNullFields", "true").json(path)
 
 

@@ -78,10 +78,10 @@ def parse(page: str) -> Node:
     return b.root
 
 
-def index_items(page: str, base: str, most: int = 60) -> list[tuple[str, str, str]]:
+def index_items(page: str, base: str, most: int | None = None) -> list[tuple[str, str, str]]:
     """(title, url, summary) of an index page: containers are articles and list items whose class names a post, or the page;
     titles of 20 to 250 characters, no fragments, mail, scripts or repeated links; the summary is the first paragraph above 40
-    characters, cut to 400."""
+    characters, cut to 400. most bounds the containers where it is given."""
     root = parse(page)
     held = [n for n in root.find("article", "li") if n.tag == "article" and not n.attrs.get("class") or POST.search(n.attrs.get("class", ""))][:most] or [root]
     out, seen = [], set()
