@@ -11,7 +11,8 @@ Words have one order, by frequency and hash. A set of n words shares at least t
 words two sets share the first, second and third are among the first n - t * n + 1, + 2 and + 3 of either (prefixes). The
 first alone is the key if at most `alone` of the records have it; else the first two, or all three where the first two are
 so frequent that by chance more than `hot` of the records had both. Which of these holds depends on the words only,
-so both sets have the key of the words they share first, wherever their differences lie. Sets of more than LONG words,
+so both sets have the key of the words they share first, wherever their differences lie. With such a key the words before its
+last that are not in it are differences already: an entry counts them and its fingerprint leaves them out. Sets of more than LONG words,
 and those they may be similar to, are keyed by every word of the prefix alone, which bounds the keys of a record.
 The index is built and searched in rounds of about `keys` keys a record, by the first word, and each round's shuffle is
 dropped before the next. Word frequencies are counted over all records; only words in more than `common` of the records
@@ -93,52 +94,73 @@ PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x
 LONG = 128
 
 
-def keyed(h: np.ndarray, df: np.ndarray, t: float, alone: float, hot: float, turn: int = 0, turns: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of the topmost patterns of sets of equal size: h their word hashes, a row each, df their frequencies (0 for
-    words outside the table). alone and hot: greatest frequency of a first word, and greatest product of the first two's.
-    Only keys whose first word belongs to this turn."""
-    n = h.shape[1]
+def keyed(h: np.ndarray, df: np.ndarray, t: float, alone: float, hot: float, turn: int = 0, turns: int = 1) -> tuple[np.ndarray, ...]:
+    """(row, key, skip, high, low) of the topmost patterns of sets of equal size: h their word hashes, a row each, df their
+    frequencies (0 for words outside the table). alone and hot: greatest frequency of a first word, and greatest product of the first
+    two's. Only keys whose first word belongs to this turn.
+
+    Where a key holds the words that two sets share first, the words before the last of them that are not in the key are in one
+    set only: skip counts them, and the fingerprint (high, low) is that of the other words."""
+    m, n = h.shape
     p = n - max(1, int(np.ceil(t * n - 1e-6))) + 1
     mine = lambda w: (mix(w) >> np.uint64(20)) % np.uint64(turns) == np.uint64(turn)
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(mask: np.ndarray, keys: np.ndarray) -> None:
-        at = np.nonzero(mask)
-        out.append((at[0], keys[at]))
+    high, low = bits(h)
+    whole = [np.bitwise_xor.reduce(x, axis=1) for x in (high, low)]
+    out: list[tuple[np.ndarray, ...]] = []
+
+    def add(row: np.ndarray, keys: np.ndarray, last: np.ndarray | int, others: tuple[np.ndarray, ...] = ()) -> None:
+        rest = [x[row] for x in whole]
+        if not isinstance(last, int):
+            for i, (before, word) in enumerate(zip(upto, each)):
+                rest[i] = rest[i] ^ before[row, last]
+                for at in others:
+                    rest[i] = rest[i] ^ word[row, at]
+        out.append((row, keys, np.broadcast_to(last, row.shape) - len(others), *rest))
 
     # two sets of at most 2 / t words may share fewer than three: they meet by single words
     if n <= 2 / t + 1e-9:
-        add(mine(h), mix(h))
+        row, at = np.nonzero(mine(h))
+        add(row, mix(h[row, at]), 0)
     order = np.lexsort((h, df))[:, : p + 2]
     g, f = np.take_along_axis(h, order, 1), np.take_along_axis(df, order, 1).astype(np.float64)
+    each = [np.take_along_axis(x, order, 1) for x in (high, low)]
+    upto = [np.bitwise_xor.accumulate(x, axis=1) ^ x for x in each]  # of the words before
     own = mine(g[:, :p])
     one, two, three = (g * x for x in PLACES)
     if n >= t * LONG - 1e-6:
-        add(own, mix(one[:, :p] ^ two[:, :p]))  # a pattern of the long ones alone
+        row, at = np.nonzero(own)
+        add(row, mix(one[row, at] ^ two[row, at]), at)  # a pattern of the long ones alone
     if n <= LONG:
         single = f[:, :p] <= alone
-        add(own & single, one[:, :p])
+        row, at = np.nonzero(own & single)
+        add(row, one[row, at], at)
         a, b, pair, x, y, z = places(p, n)
         both = (own & ~single)[:, a]
         often = f[:, a] * f[:, b] > hot
-        first = one[:, a] ^ two[:, b]
-        add(both & ~often, first)
+        row, at = np.nonzero(both & ~often)
+        add(row, one[row, a[at]] ^ two[row, b[at]], b[at], (a[at],))
         row, at = np.nonzero((both & often)[:, pair])
-        out.append((row, one[row, x[at]] ^ two[row, y[at]] ^ three[row, z[at]]))
-    return np.concatenate([r for r, _ in out]), np.concatenate([k for _, k in out])
+        add(row, one[row, x[at]] ^ two[row, y[at]] ^ three[row, z[at]], z[at], (x[at], y[at]))
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(5))
+
+
+def bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bit of 96 that each word flips, as two codes: a word flips one bit in all."""
+    bit = mix(h) % np.uint64(96)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    return np.where(bit < 64, one, np.uint64(0)), np.where(bit < 64, np.uint64(0), one)
 
 
-def all_keys(h: np.ndarray, df: np.ndarray, start: np.ndarray, size: np.ndarray, *how: float) -> tuple[np.ndarray, np.ndarray]:
-    """(place, key) of the sets that lie one after the other in h."""
-    rows, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+def all_keys(h: np.ndarray, df: np.ndarray, start: np.ndarray, size: np.ndarray, *how: float) -> tuple[np.ndarray, ...]:
+    """(place, key, skip, high, low) of the sets that lie one after the other in h."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
     for n in np.unique(size):
         same = np.flatnonzero(size == n)
         for part in np.array_split(same, len(same) // 200 + 1):
             at = start[part][:, None] + np.arange(n)
-            r, k = keyed(h[at], df[at], *how)
-            rows.append(part[r])
-            keys.append(k)
-    return np.concatenate(rows), np.concatenate(keys)
+            r, *rest = keyed(h[at], df[at], *how)
+            found.append((part[r], *rest))
+    return tuple(np.concatenate([x[i] for x in found]) for i in range(5))
 
 
 def frequencies(flat: np.ndarray, held: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -148,8 +170,8 @@ def frequencies(flat: np.ndarray, held: np.ndarray, counts: np.ndarray) -> np.nd
     return np.where(held[at] == flat, counts[at], 0)
 
 
-#: One entry of the index as it is shuffled: key, set, fingerprint and size without the padding of a row.
-ENTRY = np.dtype([("k", "<u4"), ("k2", "u1"), ("sid", "<i8"), ("high", "<u8"), ("low", "<u4"), ("size", "<u2")])
+#: One entry of the index as it is shuffled: key, set, fingerprint, size and skipped words without the padding of a row.
+ENTRY = np.dtype([("k", "<u4"), ("k2", "u1"), ("sid", "<i8"), ("high", "<u8"), ("low", "<u4"), ("size", "<u2"), ("skip", "u1")])
 
 
 def _entries(held: np.ndarray, counts: np.ndarray, parts: int, *how: float):
@@ -164,19 +186,14 @@ def _entries(held: np.ndarray, counts: np.ndarray, parts: int, *how: float):
             h = flat.view(np.uint64)
             end = np.cumsum(size)
             start = end - size
-            # one bit of 96 a word, so that a word flips one bit in all
-            bit = mix(h) % np.uint64(96)
-            one = np.uint64(1) << (bit & np.uint64(63))
-            high = np.bitwise_xor.reduceat(np.where(bit < 64, one, np.uint64(0)), start)
-            low = np.bitwise_xor.reduceat(np.where(bit < 64, np.uint64(0), one), start).astype(np.uint32)
-            row, k = all_keys(h, df, start, size, *how)
+            row, k, skip, high, low = all_keys(h, df, start, size, *how)
             if not len(k):
                 continue
             k = mix(k)
             out = np.empty(len(k), ENTRY)
             out["k"], out["k2"] = k & np.uint64(0xFFFFFFFF), (k >> np.uint64(32)) & np.uint64(0xFF)
-            for name, x in (("sid", b["sid"].to_numpy(np.int64)), ("high", high), ("low", low), ("size", np.minimum(size, FULL))):
-                out[name] = x[row]
+            out["high"], out["low"], out["skip"] = high, low.astype(np.uint32), np.minimum(skip, 255)
+            out["sid"], out["size"] = b["sid"].to_numpy(np.int64)[row], np.minimum(size, FULL)[row]
             part = ((k >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             out, part = out[order], part[order]
@@ -202,42 +219,44 @@ FAN = 16
 class GrayIndex:
     """A hierarchical index over fingerprints (columns of 64-bit codes) with sizes, within topmost patterns (keys).
 
-    Within a key entries lie by size band and Gray rank. A node holds FAN neighbours of one key: the bits on which all of them
-    agree (mask), their values (pattern) and the range of sizes; nodes above hold FAN nodes. The search goes down with pairs of
-    nodes of one key: the differences in the bits that both fix are a lower bound for all pairs below, and a pair of groups
-    beyond the bound is dropped whole. Pairs of leaf nodes that are left are compared entry by entry."""
+    Within a key entries lie by skipped words, size band and Gray rank. A node holds FAN neighbours of one key: the bits on which
+    all of them agree (mask), their values (pattern), the range of sizes and the least of skipped words; nodes above hold FAN nodes.
+    The search goes down with pairs of nodes of one key: the words both skip and the differences in the bits that both fix
+    add up to a lower bound for all pairs below, and a pair of groups beyond the bound is dropped whole. Pairs of leaf nodes that are
+    left are compared entry by entry."""
 
-    def __init__(self, keys: np.ndarray, codes: np.ndarray, size: np.ndarray, t: float) -> None:
+    def __init__(self, keys: np.ndarray, codes: np.ndarray, size: np.ndarray, t: float, skip: np.ndarray | None = None) -> None:
         self.t = t
+        skip = np.zeros(len(keys), np.int64) if skip is None else skip.astype(np.int64)
         band = (np.log(np.maximum(size, 1)) * (8 / np.log(2))).astype(np.int64)
-        self.order = np.lexsort((gray_rank(codes[:, 0]), band, keys))
+        self.order = np.lexsort((gray_rank(codes[:, 0]), band, skip // 2, keys))
         keys = keys[self.order]
-        self.codes, self.size = codes[self.order], size[self.order].astype(np.int64)
+        self.codes, self.size, self.skip = codes[self.order], size[self.order].astype(np.int64), skip[self.order]
         n = len(keys)
         # the most differing bits by the sum of the sizes
         total = np.arange(2 * (FULL + 1))
         self.bound = np.where(total >= FULL, 1 << 20, ((1 - t) / (1 + t) * total + 1e-6)).astype(np.int32)
         group = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if n else np.zeros(0, np.int64)
         self.levels: list[tuple[np.ndarray, ...]] = []
-        first, last, ones, zeros, small, big = group, np.append(group[1:], n), self.codes, ~self.codes, self.size, self.size
+        first, last, ones, zeros, small, big, skipped = group, np.append(group[1:], n), self.codes, ~self.codes, self.size, self.size, self.skip
         while n:
             # nodes of FAN neighbours, a group's first with its first entry
             count = -(-(last - first) // FAN)
             node = np.repeat(first, count) + FAN * (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
             end = np.minimum(node + FAN, np.repeat(last, count))
             cut = lambda op, x: op.reduceat(x, node, axis=0)
-            ones, zeros, small, big = cut(np.bitwise_and, ones), cut(np.bitwise_and, zeros), cut(np.minimum, small), cut(np.maximum, big)
+            ones, zeros, small, big, skipped = cut(np.bitwise_and, ones), cut(np.bitwise_and, zeros), cut(np.minimum, small), cut(np.maximum, big), cut(np.minimum, skipped)
             last = np.cumsum(count)
             first = last - count
-            self.levels.append((node, end, ones, ones | zeros, small, big))
+            self.levels.append((node, end, ones, ones | zeros, small, big, skipped))
             if (count == 1).all():
                 break
         self.tops = len(first)
 
     def _apart(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs of nodes hold no pair within the bound."""
-        _, _, pattern, mask, small, big = self.levels[level]
-        least = np.zeros(len(i), np.int64)
+        _, _, pattern, mask, small, big, skipped = self.levels[level]
+        least = skipped[i] + skipped[j]
         for c in range(pattern.shape[1]):
             least += np.bitwise_count((pattern[i, c] ^ pattern[j, c]) & mask[i, c] & mask[j, c])
         far = least > self.bound[np.minimum(big[i] + big[j], len(self.bound) - 1)]
@@ -261,40 +280,35 @@ class GrayIndex:
             ok &= x <= y
             yield from self._below(level - 1, x[ok], y[ok], at_once)
 
-    def pairs(self, at_once: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(self, at_once: int = 1_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of places (in the given order, each pair once) of one key whose codes differ within the bound."""
         if not self.levels:
             return
         top = np.arange(self.tops)
-        start, end, big = self.levels[0][0], self.levels[0][1], self.levels[0][5]
+        start, end, big, skipped = (self.levels[0][i] for i in (0, 1, 5, 6))
         high, low, size = self.codes[:, 0], self.codes[:, 1].astype(np.uint32), self.size.astype(np.int32)
         leaf = np.arange(FAN)
         for nodes_i, nodes_j in self._below(len(self.levels) - 1, top, top):
             # a node of one entry has no pair in itself
             some = (nodes_i != nodes_j) | (end[nodes_i] - start[nodes_i] > 1)
             nodes_i, nodes_j = nodes_i[some], nodes_j[some]
-            # small nodes with small ones, so that little of what is compared is padding
-            most_in = np.maximum(end[nodes_i] - start[nodes_i], end[nodes_j] - start[nodes_j])
-            order = np.argsort(most_in, kind="stable")
-            nodes_i, nodes_j, most_in = nodes_i[order], nodes_j[order], most_in[order]
-            k = 0
-            while k < len(nodes_i):
-                upto = k + max(1, at_once // int(most_in[k]) ** 2)
-                upto = min(upto, int(np.searchsorted(most_in, 1.5 * most_in[k], "right")))
-                p, q, wide = nodes_i[k:upto], nodes_j[k:upto], int(most_in[min(upto, len(most_in)) - 1])
-                k = upto
+            for k in range(0, len(nodes_i), at_once):
+                p, q = nodes_i[k : k + at_once], nodes_j[k : k + at_once]
+                wide = int(max((end[p] - start[p]).max(), (end[q] - start[q]).max()))
                 x, y = start[p][:, None] + leaf[:wide], start[q][:, None] + leaf[:wide]
                 in_x, in_y = x < end[p][:, None], y < end[q][:, None]
                 x, y = np.minimum(x, len(size) - 1), np.minimum(y, len(size) - 1)
-                # the first code against the nodes' own bound, both against the pair's for what is left
                 off = np.bitwise_count(high[x][:, :, None] ^ high[y][:, None, :])
-                most = np.minimum(self.bound[np.minimum(big[p] + big[q], len(self.bound) - 1)], 255).astype(np.uint8)
+                off += np.bitwise_count(low[x][:, :, None] ^ low[y][:, None, :])
+                # the nodes' own bound first, that of the pair for what is left
+                most = np.clip(self.bound[np.minimum(big[p] + big[q], len(self.bound) - 1)] - skipped[p] - skipped[q], 0, 255).astype(np.uint8)
                 at = np.flatnonzero(off <= most[:, None, None])
                 r, c = np.divmod(at, wide * wide)
                 u, v = np.divmod(c, wide)
+                ok = in_x[r, u] & in_y[r, v]
+                r, u, v = r[ok], u[ok], v[ok]
                 a, b = x[r, u], y[r, v]
-                once = in_x[r, u] & in_y[r, v] & (a < b)
-                once &= off.ravel()[at] + np.bitwise_count(low[a] ^ low[b]) <= self.bound[size[a] + size[b]]
+                once = (a < b) & (off[r, u, v] + self.skip[a] + self.skip[b] <= self.bound[size[a] + size[b]])
                 yield self.order[a[once]], self.order[b[once]]
 
 
@@ -312,7 +326,7 @@ def search(entries: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarr
     entries = entries[order]
     sid, size = entries["sid"].astype(np.int64), entries["size"].astype(np.int64)
     codes = np.stack([entries["high"], entries["low"].astype(np.uint64)], 1)
-    for i, j in GrayIndex(k, codes, size, t).pairs():
+    for i, j in GrayIndex(k, codes, size, t, entries["skip"]).pairs():
         # copies out of other batches
         other = sid[i] != sid[j]
         yield sid[i][other], sid[j][other]

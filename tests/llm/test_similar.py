@@ -88,6 +88,15 @@ def test_index_finds_every_pair_within_the_bound(n, keys):
     assert len(set(found)) == len(found) and want <= set(found) <= near
 
 
+def test_skipped_words_count_as_differences():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**62, size=(200, 2), dtype=np.uint64) & np.uint64(0xFF)
+    size, skip, key = np.full(200, 30), rng.integers(0, 9, size=200), np.zeros(200, np.int64)
+    found = {tuple(sorted(p)) for i, j in S.GrayIndex(key, base, size, 0.7, skip).pairs() for p in zip(i.tolist(), j.tolist())}
+    want = {(a, b) for a in range(200) for b in range(a + 1, 200) if int(np.bitwise_count(base[a] ^ base[b]).sum()) + skip[a] + skip[b] <= 10}
+    assert found == want and len(want) > 50
+
+
 @pytest.mark.parametrize("words", [20, 48, 100, 190, 260, 1000, 3000])
 def test_recall_at_the_threshold_by_size(words):
     """Pairs just at 0.7 whose differing words are the rarest: every pair has a common key and is within the bound."""
