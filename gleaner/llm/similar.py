@@ -386,7 +386,7 @@ def _candidate_pairs(sets: DataFrame, t: float, keys: int, alone: float, hot: fl
     return held, written(reduce(DataFrame.unionByName, found).distinct())
 
 
-def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 24, alone: float = 0.02, hot: float = 0.004, common: float = 0.0005) -> DataFrame:
+def similar_sets(sets: DataFrame, t: float = 0.7, keys: int = 24, alone: float = 0.04, hot: float = 0.004, common: float = 0.0005) -> DataFrame:
     """(a, b, similarity) of the pairs of different sets, by set hash; sets holds row_no, sid and words."""
     held, pairs = _candidate_pairs(sets, t, keys, alone, hot, common)
     free_shuffles(sets.sparkSession)
